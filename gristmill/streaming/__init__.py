@@ -1,0 +1 @@
+"""Nothing lives here: every feed this library serves is a batch feed (weekly or one-off files)."""
