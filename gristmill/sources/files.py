@@ -93,9 +93,3 @@ def export_csv(df: DataFrame, path: str) -> str:
     """Drop-and-replace a CSV export with header, one file per partition."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

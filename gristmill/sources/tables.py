@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.casting import to_day, to_flag, to_real, to_whole
 from gristmill.operators.cleaning import keep_first
-from gristmill.sources.files import path_exists, read_csv
+from gristmill.sources.files import read_csv
 
 
 def _text(column: Column) -> Column:
@@ -51,8 +52,8 @@ class TableSpec:
     unique: str | None = None
 
 
-# Names, types, lengths, headers and charsets of the tables that are loaded.
-HEALTH = TableSpec("cancer_data", (
+# Types, lengths, headers and charsets of the files that are loaded.
+HEALTH = TableSpec("health", (
     Field("age", "int", "Age"),
     Field("gender", "int", "Gender"),
     Field("bmi", "double", "BMI"),
@@ -63,7 +64,7 @@ HEALTH = TableSpec("cancer_data", (
     Field("cancer_history", "int", "CancerHistory"),
     Field("diagnosis", "int", "Diagnosis"),
 ))
-TITLES = TableSpec("netflix_titles", (
+TITLES = TableSpec("titles", (
     Field("show_id", limit=10),
     Field("type", limit=50),
     Field("title", limit=500),
@@ -78,7 +79,7 @@ TITLES = TableSpec("netflix_titles", (
     Field("description"),
     Field("duration_value", "int"),
 ), charset="mac-roman", unique="show_id")
-WEEKLY = TableSpec("netflix_all_weeks_global", (
+WEEKLY = TableSpec("weekly_chart", (
     Field("week", "date"),
     Field("category", limit=50),
     Field("weekly_rank", "int"),
@@ -91,7 +92,7 @@ WEEKLY = TableSpec("netflix_all_weeks_global", (
     Field("is_staggered_launch", "boolean"),
     Field("episode_launch_details"),
 ), charset="cp1252")
-MART = TableSpec("netflix_mart_global", (
+MART = TableSpec("genre_mart", (
     Field("week_date", "date"),
     Field("month_num", "int"),
     Field("season", limit=50),
@@ -103,7 +104,7 @@ MART = TableSpec("netflix_mart_global", (
     Field("type_clean", limit=50),
     Field("genre"),
 ))
-MODEL_TABLES = ("netflix_model_input_safe", "netflix_model_input_leakage")
+MODEL_TABLES = ("model_input_safe", "model_input_leakage")
 
 
 def coerce(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -179,4 +180,9 @@ def read_table_or_file(
 
 def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Read a stored Parquet result, or build it when there is none.  Does not write."""
-    return spark.read.parquet(path) if path_exists(spark, path) else build()
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return build()
