@@ -29,7 +29,7 @@ def sentinel_to_null(column: Column, sentinel: str = "nan") -> Column:
 
 def list_items(column: Column, separator: str = ",") -> Column:
     """Delimited text to an array of trimmed, non-empty items."""
-    return F.filter(F.transform(F.split(column, separator), F.trim), lambda item: item != "")
+    return F.filter(F.transform(F.split(column, separator), lambda item: F.trim(item)), lambda item: item != "")
 
 
 def first_item(column: Column, separator: str = ",") -> Column:

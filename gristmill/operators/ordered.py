@@ -26,12 +26,15 @@ def totals_before(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
     must be unique, otherwise equal rows could not be spread over ranges.
     """
     groups = list(groups)
+    taken = {"__range", "__row", "__cell", *totals} & set(df.columns)
+    if taken:
+        raise ValueError(f"column names are needed here: {sorted(taken)}")
     sort = [*[smallest_first(g) for g in groups], *order]
     # Written once: range bounds come from a sample, so a second evaluation could cut elsewhere.
     ranges = materialize(
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
-        .withColumns({"__range": F.spark_partition_id(), "__pos": F.monotonically_increasing_id()}),
+        .withColumns({"__range": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}),
         "ranges",
     )
     cells = ranges.groupBy("__range", *groups).agg(*[F.sum(c).alias(name) for name, c in totals.items()])
@@ -50,7 +53,7 @@ def totals_before(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
     same = F.col("__range") == F.col("__c_range")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
-    inside = Window.partitionBy("__range", *groups).orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__range", *groups).orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
     local = ranges.withColumns({name: F.sum(c).over(inside) for name, c in totals.items()})
     zero = F.lit(0)
     return (
@@ -154,11 +157,11 @@ def area_under_curve(df: DataFrame, score: str, actual: str, name: str = "auc")
     levels = (
         df.where(F.col(score).isNotNull() & F.col(actual).isNotNull())
         .groupBy(score)
-        .agg(F.sum(F.col(actual).cast("bigint")).alias("__pos"), F.count("*").alias("__all"))
-        .withColumn("__neg", F.col("__all") - F.col("__pos"))
+        .agg(F.sum(F.col(actual).cast("bigint")).alias("__hits"), F.count("*").alias("__rows"))
+        .withColumn("__misses", F.col("__rows") - F.col("__hits"))
     )
-    below = totals_before(levels, [], [smallest_first(score)], {"__neg_below": "__neg"})
-    pos, neg = F.col("__pos").cast("double"), F.col("__neg").cast("double")
-    won = F.sum(pos * F.col("__neg_below") + pos * neg / 2)
+    below = totals_before(levels, [], [smallest_first(score)], {"__misses_below": "__misses"})
+    pos, neg = F.col("__hits").cast("double"), F.col("__misses").cast("double")
+    won = F.sum(pos * F.col("__misses_below") + pos * neg / 2)
     pairs = F.sum(pos) * F.sum(neg)
     return below.agg(F.when(pairs > 0, won / pairs).alias(name))

@@ -20,7 +20,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     columns = list(columns or df.columns)
     types = dict(df.dtypes)
     one_row = df.agg(F.count("*").alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    ratio = F.bround(F.col("missing_count") * 100.0 / F.col("__rows"), 2)
+    ratio = F.bround(F.col("missing_count").cast("double") * 100 / F.col("__rows"), 2)
     entries = F.array(*[
         F.struct(
             F.lit(c).alias("column_name"), F.lit(types[c]).alias("dtype"), F.col(c).alias("missing_count"), "__rows"
@@ -29,7 +29,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     ])
     return (
         one_row.select(F.inline(entries))
-        .withColumn("missing_ratio", F.when(F.col("__rows") > 0, ratio.cast("double")))
+        .withColumn("missing_ratio", F.when(F.col("__rows") > 0, ratio))
         .drop("__rows")
     )
 

@@ -14,7 +14,8 @@ from gristmill.operators.joins import attach_group_stats
 from gristmill.operators.ordered import ranks
 from gristmill.operators.windows import page, top_ranks, top_rows
 
-BY_BMI = (sql_desc("bmi"), smallest_first("id"))
+def by_bmi() -> list[Column]:
+    return [sql_desc("bmi"), smallest_first("id")]
 
 
 def diagnosis_label(column: str = "diagnosis") -> Column:
@@ -33,12 +34,12 @@ def labelled(patients: DataFrame) -> DataFrame:
 
 def heaviest(patients: DataFrame, rows: int = 20) -> DataFrame:
     """Patients by BMI, highest first."""
-    return patients.select("id", "age", "bmi", "diagnosis").orderBy(*BY_BMI).limit(rows)
+    return patients.select("id", "age", "bmi", "diagnosis").orderBy(*by_bmi()).limit(rows)
 
 
 def bmi_page(patients: DataFrame, offset: int = 2, rows: int = 7) -> DataFrame:
     """A slice of the sorted list, by position only."""
-    return page(patients.select("id", "age", "bmi", "diagnosis"), BY_BMI, offset, rows)
+    return page(patients.select("id", "age", "bmi", "diagnosis"), by_bmi(), offset, rows)
 
 
 def bmi_ranked(patients: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def top_of_group(patients: DataFrame, n: int = 3) -> DataFrame:
     is kept as well.
     """
     columns = patients.select("id", "diagnosis", "age", "bmi", "genetic_risk")
-    top = top_rows(columns, ["diagnosis"], BY_BMI, n, "sample_row_num")
+    top = top_rows(columns, ["diagnosis"], by_bmi(), n, "sample_row_num")
     first = top.groupBy("diagnosis", "bmi").agg(F.min("sample_row_num").cast("bigint").alias("bmi_rank_in_group"))
     same = top.alias("t").join(
         first.alias("f"),
@@ -106,7 +107,7 @@ def beside_group(patients: DataFrame) -> DataFrame:
 
 def top_beside_group(patients: DataFrame, n: int = 3) -> DataFrame:
     """``n`` patients per diagnosis beside the statistics of the whole diagnosis."""
-    top = top_rows(beside_group(patients), ["diagnosis"], BY_BMI, n, "sample_row_num")
+    top = top_rows(beside_group(patients), ["diagnosis"], by_bmi(), n, "sample_row_num")
     return top.withColumn("diagnosis_label", diagnosis_label()).orderBy("diagnosis_label", "sample_row_num")
 
 
@@ -121,7 +122,7 @@ def ranked_in_age_band(patients: DataFrame) -> DataFrame:
 
 def top_of_age_band(patients: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` highest BMIs of every age band."""
-    return top_rows(with_age_band(patients), ["age_band"], BY_BMI, n, "bmi_row_num_in_age_band")
+    return top_rows(with_age_band(patients), ["age_band"], by_bmi(), n, "bmi_row_num_in_age_band")
 
 
 def age_band_cancer_ratio(patients: DataFrame, n: int = 10) -> DataFrame:
