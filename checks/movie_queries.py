@@ -255,6 +255,13 @@ def topk_values(spark, d):
     return top_values(present, "main_keyword", 8)
 
 
+@query("rows_of_top_values", with_sql(*KEYWORD_CTES, TOP_EIGHT, select="""
+SELECT movie_id, main_keyword, release_decade FROM with_keyword
+WHERE main_keyword IN (SELECT main_keyword FROM top_eight) AND release_decade IS NOT NULL"""))
+def rows_of_top_values(spark, d):
+    return movies.top_keyword_movies(with_keyword(spark, d)).select("movie_id", "main_keyword", "release_decade")
+
+
 @query("value_counts", with_sql(*KEYWORD_CTES, select="""
 SELECT main_keyword, count(*) AS count FROM with_keyword WHERE main_keyword IS NOT NULL GROUP BY main_keyword"""))
 def keyword_value_counts(spark, d):

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.nested import literal_items
-from gristmill.operators.aggregates import keep_top_values, top_values
+from gristmill.functions.ordering import largest_first, smallest_first
+from gristmill.scratch import materialize
 
 
 def explode_literal(
@@ -35,12 +36,18 @@ def explode_list(df: DataFrame, items: Column, name: str) -> DataFrame:
 def count_pivot(df: DataFrame, index: str, columns: str, counted: str, k: int) -> DataFrame:
     """Counts by index x the ``k`` most frequent column values, empty cells 0.
 
-    The at most ``k`` names are fetched because they become column names.
+    Rows are folded to cells first, so they are read once.  The at most ``k``
+    names are fetched because they become column names.
     """
     present = df.na.drop(subset=[index, columns])
-    names = sorted(row[0] for row in top_values(present, columns, k).collect())
-    kept = keep_top_values(present, columns, k)
-    return kept.groupBy(index).pivot(columns, names).agg(F.count(counted)).na.fill(0)
+    cells = materialize(
+        present.groupBy(index, columns).agg(F.count("*").alias("__rows"), F.count(counted).alias("__n")), "pivot-cells"
+    )
+    leading = cells.groupBy(columns).agg(F.sum("__rows").alias("__rows"))
+    order = [largest_first("__rows"), smallest_first(columns)]
+    names = sorted(row[0] for row in leading.orderBy(*order).limit(k).select(columns).collect())
+    kept = cells.where(F.col(columns).isin(names))
+    return kept.groupBy(index).pivot(columns, names).agg(F.sum("__n")).na.fill(0)
 
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "metric", value: str = "value"):

@@ -10,6 +10,7 @@ from gristmill.operators import quality
 from gristmill.operators.aggregates import correlations, correlations_with, supported_rate, value_shares
 from gristmill.operators.joins import inner_join
 from gristmill.operators.ordered import medians
+from gristmill.scratch import materialize
 
 TARGET = "long_run_flag"
 NUMERIC_FEATURES = ("first_month_num", "first_week_rank", "first_week_hours_viewed")
@@ -39,6 +40,7 @@ def rate_by(safe: DataFrame, group: str, min_count: int = 5) -> DataFrame:
 
 def label_profile(safe: DataFrame) -> DataFrame:
     """Counts, means and medians of the first week per label."""
+    safe = materialize(safe.select(TARGET, "title_clean", "first_week_rank", "first_week_hours_viewed"), "profile")
     means = safe.groupBy(TARGET).agg(
         F.count("title_clean").alias("content_count"),
         F.avg("first_week_rank").alias("avg_first_week_rank"),

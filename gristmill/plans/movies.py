@@ -159,18 +159,27 @@ def best_rated_years(movies: DataFrame, rows: int = 10) -> DataFrame:
     return year_summary(movies).orderBy(largest_first("avg_rating"), smallest_first("release_year")).limit(rows)
 
 
+def top_keyword_movies(movies: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
+    """Movies with one of the most frequent keywords."""
+    return keep_top_values(drop_missing(movies, ["main_keyword", "release_decade"]), "main_keyword", k)
+
+
 def decade_keyword_pivot(movies: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
     """Movies per decade and frequent keyword."""
     return count_pivot(movies, "release_decade", "main_keyword", "title", k)
 
 
 def keyword_business(movies: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
-    """Six measures per frequent keyword."""
+    """Six measures per frequent keyword.
+
+    How frequent a keyword is comes out of the same aggregation, so the rows
+    need not be filtered by a list of keywords first.
+    """
     present = drop_missing(movies, ["main_keyword", "release_decade"])
     return (
-        keep_top_values(present, "main_keyword", k)
-        .groupBy("main_keyword")
+        present.groupBy("main_keyword")
         .agg(
+            F.count("*").alias("__rows"),
             F.count("title").alias("movie_count"),
             F.avg("vote_average").alias("avg_rating"),
             F.avg("vote_count").alias("avg_vote_count"),
@@ -178,6 +187,9 @@ def keyword_business(movies: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
             F.avg("profit").alias("avg_profit"),
             F.avg("roi").alias("avg_roi"),
         )
+        .orderBy(largest_first("__rows"), smallest_first("main_keyword"))
+        .limit(k)
+        .drop("__rows")
         .orderBy(largest_first("movie_count"), smallest_first("main_keyword"))
     )
 

@@ -27,6 +27,16 @@ BUILT_IN_CHARSETS = ("UTF-8",)
 FILE_ORDER = ("file_path", "file_block", "file_row")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over the cluster when the scan has fewer splits than there are cores.
+
+    One unsplittable file would otherwise keep a single core busy with parsing.
+    A scan with enough splits is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -63,7 +73,7 @@ def read_csv(
             F.monotonically_increasing_id().alias("file_row"),
         ]
     text = [F.when(~F.col(f"`{c}`").isin(markers), F.col(f"`{c}`")).alias(c) if markers else F.col(c) for c in names]
-    df = raw.select(*text, *order)
+    df = spread(raw.select(*text, *order))
     return df.withColumns({c: to_day(F.col(c)) for c in date_columns}) if date_columns else df
 
 
