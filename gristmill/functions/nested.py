@@ -1,19 +1,49 @@
 """Python-literal lists stored as text, e.g. ``[{'id': 931, 'name': "toy's"}]``.
 
-These cells are not JSON (None, True, mixed quotes), so each Arrow batch goes
-through ``ast.literal_eval``.  The parsers are built inside functions so that
-they travel to the executors by value.
+These cells are not JSON (None, True, mixed quotes), so they are parsed in
+Arrow batches.  Most cells differ from JSON only in their quotes and constants
+and go through the much faster JSON reader; the rest goes through
+``ast.literal_eval``.  The parsers are built inside functions so that they
+travel to the executors by value.
 """
 
 from __future__ import annotations
 
 import ast
+import json
+import re
 from collections.abc import Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+ARROW_TYPES = {"bigint": pa.int64(), "string": pa.string()}
+
+
+def _literal_reader():
+    """Function from text to the Python value it spells, or None."""
+    token = re.compile(r"""'([^'\\\n]*)'|"[^"\\\n]*"|[^\W\d]\w*""")
+    constants = {"None": "null", "True": "true", "False": "false"}
+
+    def as_json(match):
+        if match[1] is not None:
+            return '"' + match[1].replace('"', '\\"') + '"'
+        return match[0] if match[0][0] == '"' else constants[match[0]]
+
+    def read(text):
+        if text.startswith("["):
+            try:
+                return json.loads(token.sub(as_json, text))
+            except (KeyError, ValueError, RecursionError):
+                pass  # something JSON cannot spell: escapes, tuples, other names
+        try:
+            return ast.literal_eval(text)
+        except Exception:  # any cell that is not a literal counts as an empty list
+            return None
+
+    return read
+
 
 def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
     """Array of structs with the named fields; empty for NULL, broken or non-list text.
@@ -21,33 +51,34 @@ def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
     ``fields`` maps each key of the items to ``bigint`` or ``string``.  An item
     that is not a dict yields a struct of NULLs, a missing key a NULL field.
     """
-    whole = {name for name, kind in fields.items() if kind == "bigint"}
+    read = _literal_reader()
+    kinds = dict(fields)
+    cell_type = pa.list_(pa.struct([pa.field(name, ARROW_TYPES[kind]) for name, kind in kinds.items()]))
 
-    def field(item, name):
-        value = item.get(name) if isinstance(item, dict) else None
+    def field(item, name, kind):
+        value = item.get(name)
         if value is None:
             return None
-        if name not in whole:
-            return str(value)
+        if kind == "string":
+            return value if isinstance(value, str) else str(value)
         try:
-            return int(value)
+            number = int(value)
         except (TypeError, ValueError, OverflowError):
             return None
+        return number if -(2**63) <= number < 2**63 else None
 
     def parse(text):
-        if text is None:
-            return []
-        try:
-            items = ast.literal_eval(text)
-        except Exception:  # any cell that is not a literal counts as an empty list
-            return []
+        items = read(text) if text is not None else None
         if not isinstance(items, list):
             return []
-        return [{name: field(item, name) for name in fields} for item in items]
+        return [
+            {name: field(item, name, kind) for name, kind in kinds.items()} if isinstance(item, dict) else {}
+            for item in items
+        ]
 
-    @F.pandas_udf(f"array<struct<{','.join(f'`{name}`:{kind}' for name, kind in fields.items())}>>")
-    def parse_batch(cells: pd.Series) -> pd.Series:
-        return cells.map(parse)
+    @F.arrow_udf(f"array<struct<{','.join(f'`{name}`:{kind}' for name, kind in kinds.items())}>>")
+    def parse_batch(cells: pa.Array) -> pa.Array:
+        return pa.array([parse(text) for text in cells.to_pylist()], type=cell_type)
 
     return parse_batch(column)
 

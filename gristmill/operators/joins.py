@@ -123,8 +123,11 @@ def pair_counts(
     def paired(x: DataFrame, y: DataFrame) -> DataFrame:
         return x.join(y, "__k").groupBy(*keys).agg(F.count("*").alias(count))
 
-    lefts = materialize(frequent(occurrences(left, left_item, "__a"), "__a"), "pair-left")
-    rights = materialize(frequent(occurrences(right, right_item, "__b"), "__b"), "pair-right")
+    # written before pruning, which reads them twice
+    lefts = materialize(occurrences(left, left_item, "__a"), "pair-left")
+    rights = materialize(occurrences(right, right_item, "__b"), "pair-right")
+    lefts = materialize(frequent(lefts, "__a"), "pair-left-frequent")
+    rights = materialize(frequent(rights, "__b"), "pair-right-frequent")
     widths = (
         lefts.groupBy("__k").agg(F.count("*").alias("__x"))
         .join(rights.groupBy("__k").agg(F.count("*").alias("__y")), "__k")
