@@ -25,6 +25,7 @@ from gristmill.operators.ordered import smallest_share
 from gristmill.operators.quality import union_all
 from gristmill.plans.evaluation import metric_row
 from gristmill.scratch import materialize
+from gristmill.sources.files import spread
 
 TARGET = "long_run_flag"
 KEY = "title_clean"
@@ -147,6 +148,7 @@ def forest(
     return RandomForestClassifier(
         labelCol=TARGET, weightCol="class_weight", numTrees=trees, maxDepth=depth or DEEPEST,
         minInstancesPerNode=leaf, featureSubsetStrategy=features or "all", seed=seed,
+        cacheNodeIds=True,  # rows keep their place in each tree instead of walking down from the root
     )
 
 
@@ -187,7 +189,7 @@ def score(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 def fit(name: str, model: Estimator, train: DataFrame, test: DataFrame) -> Fitted:
     """Fit preprocessing and model on weighted train rows, score the test rows."""
-    fitted = estimator(without_weight(train), model).fit(train)
+    fitted = estimator(without_weight(train), model).fit(spread(train))
     return Fitted(name, fitted, score(fitted, test))
 
 
@@ -255,7 +257,7 @@ def search(
         }
         for s in settings
     ]
-    folded = train.withColumn("fold", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed + 1)), F.lit(folds)).cast("int"))
+    folded = spread(train).withColumn("fold", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed + 1)), F.lit(folds)).cast("int"))
     validator = CrossValidator(
         estimator=estimator(without_weight(train), model),
         estimatorParamMaps=grid,
