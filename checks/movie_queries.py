@@ -277,26 +277,28 @@ def decade_keyword_pivot(spark, d):
     return movies.decade_keyword_pivot(with_keyword(spark, d))
 
 
-BUSINESS_SQL = """
-SELECT main_keyword, count(title) AS movie_count, round(avg(vote_average), 6) AS avg_rating,
-  round(avg(vote_count), 6) AS avg_vote_count, round(avg(revenue), 6) AS avg_revenue,
-  round(avg(profit), 4) AS avg_profit, round(avg(roi), 6) AS avg_roi
-FROM with_keyword WHERE main_keyword IN (SELECT main_keyword FROM top_eight) AND release_decade IS NOT NULL GROUP BY main_keyword"""
+def business_sql(mean):
+    return """
+SELECT main_keyword, count(title) AS movie_count, """ + ", ".join(
+        f"{mean.format(column)} AS avg_{name}"
+        for name, column in (
+            ("rating", "vote_average"), ("vote_count", "vote_count"), ("revenue", "revenue"), ("profit", "profit"), ("roi", "roi")
+        )
+    ) + " FROM with_keyword WHERE main_keyword IN (SELECT main_keyword FROM top_eight) AND release_decade IS NOT NULL GROUP BY main_keyword"
 
 
-@query("keyword_business", with_sql(*KEYWORD_CTES, TOP_EIGHT, select=BUSINESS_SQL))
+@query("keyword_business", with_sql(*KEYWORD_CTES, TOP_EIGHT, select=business_sql("round(avg({}), 6)")))
 def keyword_business(spark, d):
     wide = movies.keyword_business(with_keyword(spark, d))
-    return rounded(rounded(wide, "avg_rating", "avg_vote_count", "avg_revenue", "avg_roi"), "avg_profit", digits=4)
+    return rounded(wide, *movies.BUSINESS_METRICS[1:])
 
 
 @query("keyword_business_long", with_sql(*KEYWORD_CTES, TOP_EIGHT, select=f"""
-SELECT main_keyword, metric, round(value, 4) AS value FROM (
-  SELECT main_keyword, CAST(movie_count AS DOUBLE) AS movie_count, avg_rating, avg_vote_count, avg_revenue, avg_profit, avg_roi
-  FROM ({BUSINESS_SQL}))
+SELECT main_keyword, metric, round(value, 6) AS value FROM (
+  SELECT * REPLACE (CAST(movie_count AS DOUBLE) AS movie_count) FROM ({business_sql("avg({})")}))
 UNPIVOT (value FOR metric IN (movie_count, avg_rating, avg_vote_count, avg_revenue, avg_profit, avg_roi))"""))
 def keyword_business_long(spark, d):
-    return rounded(movies.keyword_business_long(with_keyword(spark, d)), "value", digits=4)
+    return rounded(movies.keyword_business_long(with_keyword(spark, d)), "value")
 
 
 @query("movie_keywords", with_sql(LINES, MOVIE_KEYWORDS, select="SELECT * FROM movie_keywords"))
