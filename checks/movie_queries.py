@@ -18,7 +18,7 @@ TYPED = """typed AS (
     AS release_date, original_language, TRY_CAST(runtime AS DOUBLE) AS runtime, TRY_CAST(budget AS DOUBLE) AS budget,
     TRY_CAST(revenue AS DOUBLE) AS revenue, TRY_CAST(popularity AS DOUBLE) AS popularity,
     TRY_CAST(vote_average AS DOUBLE) AS vote_average, TRY_CAST(vote_count AS DOUBLE) AS vote_count,
-    line_no, part_no, supp_no, ship_day, year(TRY_CAST(CASE WHEN length(release_date) = 10 THEN release_date END AS DATE)) AS release_year
+    line_no, part_no, supp_no, ship_day, CAST(year(TRY_CAST(CASE WHEN length(release_date) = 10 THEN release_date END AS DATE)) AS INTEGER) AS release_year
   FROM raw_movies)"""
 COMPLETE = """complete AS (
   SELECT * REPLACE (coalesce(original_language, 'unknown') AS original_language) FROM typed

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.ordering import largest_first, smallest_first
-from gristmill.operators.joins import attach_group_stats
+from gristmill.operators.joins import attach_group_stats, broadcast_rows
 
 
 def present_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,8 +40,8 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def keep_top_values(df: DataFrame, column: str, k: int) -> DataFrame:
-    """Rows whose value is among the ``k`` most frequent ones; at most ``k`` values are broadcast."""
-    return df.join(F.broadcast(top_values(df, column, k)), column, "left_semi")
+    """Rows whose value is among the ``k`` most frequent ones."""
+    return df.join(broadcast_rows(top_values(df, column, k), k), column, "left_semi")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

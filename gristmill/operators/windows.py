@@ -24,7 +24,8 @@ def top_rows(
 ) -> DataFrame:
     """The first ``n`` rows of every group by ``order`` (unique), numbered from 1."""
     window = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn(number, F.row_number().over(window)).where(F.col(number) <= n)
+    top = df.withColumn(number, F.row_number().over(window)).where(F.col(number) <= n)
+    return top.withColumn(number, F.col(number).cast("bigint"))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

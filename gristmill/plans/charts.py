@@ -174,7 +174,7 @@ def season_genre_rank(clean: DataFrame) -> DataFrame:
     The window runs over one row per season and genre.
     """
     order = [F.desc("top10_row_count"), sql_asc("__avg_rank")]
-    ranked = F.rank().over(Window.partitionBy("season").orderBy(*order)).alias("genre_rank_in_season")
+    ranked = F.rank().over(Window.partitionBy("season").orderBy(*order)).cast("bigint").alias("genre_rank_in_season")
     return _charted(clean, ["season", "genre"]).select("*", ranked).drop("__avg_rank")
 
 

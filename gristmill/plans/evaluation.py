@@ -97,8 +97,8 @@ def scored_output(
     )
 
 
-def dashboard_summary(output: DataFrame) -> DataFrame:
-    """Headline numbers of a scored output, one row."""
+def dashboard_summary(output: DataFrame, best_cv_f1: float | None = None) -> DataFrame:
+    """Headline numbers of a scored output, one row; the search's best F1 is passed in when there was one."""
     cells = _cells(F.col("predicted_long_run_flag"), F.col("actual_long_run_flag"))
     counts = output.agg(F.avg("long_run_probability").alias("avg_probability"), *[c.alias(n) for n, c in cells.items()])
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
@@ -111,6 +111,7 @@ def dashboard_summary(output: DataFrame) -> DataFrame:
         *[measures[n].alias(n) for n in ("precision", "recall", "f1")],
         fp.alias("false_positive"),
         fn.alias("false_negative"),
+        *([F.lit(best_cv_f1).alias("best_cv_f1")] if best_cv_f1 is not None else []),
     )
 
 
