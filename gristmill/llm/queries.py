@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_bpe, chat_tools, quality_qda, secret_scan, shard_shuffle, topk_search
+from gristmill.llm import byte_bpe, chat_tools, decontaminate, quality_qda, secret_scan, shard_shuffle, topk_search
 from gristmill.llm.common import pick
 from gristmill.scratch import materialize
 
@@ -119,3 +119,36 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+OP9_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM benchmark),
+items AS (SELECT item_id, words, len(words) AS n, least(len(words), 5) AS k FROM b WHERE len(words) > 0),
+item_shingles AS (
+  SELECT item_id, n, k, array_to_string(words[i:i + k - 1], ' ') AS s, count(*) AS in_item
+  FROM (SELECT *, unnest(range(1, n - k + 2)) AS i FROM items) GROUP BY ALL),
+doc_shingles AS (
+  SELECT doc_id, k, i, array_to_string(words[i:i + k - 1], ' ') AS s, len(words) AS length
+  FROM (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT DISTINCT k FROM items))),
+hits AS (SELECT d.doc_id, d.length, d.i, t.item_id, t.n, t.k, d.s FROM doc_shingles d JOIN item_shingles t USING (k, s)),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, n, k, unnest(range(greatest(1, i + k - n), least(i, length - n + 1) + 1)) AS start FROM hits),
+counted AS (
+  SELECT p.doc_id, p.item_id, p.n, p.k, p.start, h.s, count(*) AS in_window
+  FROM starts p JOIN hits h ON h.doc_id = p.doc_id AND h.item_id = p.item_id AND h.i BETWEEN p.start AND p.start + p.n - p.k GROUP BY ALL),
+shared AS (
+  SELECT doc_id, item_id, n, k, start, sum(least(in_window, in_item)) AS shared
+  FROM counted c JOIN item_shingles t USING (item_id, n, k, s) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(arg_max(start, (shared / (2 * (n - k + 1) - shared), -start)) - 1 AS INTEGER) AS start_word, any_value(n) AS n_words,
+  CAST(max(shared) AS BIGINT) AS shared, CAST(min(2 * (n - k + 1) - shared) AS BIGINT) AS total
+FROM shared WHERE 4 * shared >= 3 * (2 * (n - k + 1) - shared) GROUP BY doc_id, item_id
+"""
+
+
+@query("op9_decontaminate", OP9_SQL)
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "n_words", "shared", "total")
