@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_bpe, chat_tools, decontaminate, quality_qda, secret_scan, shard_shuffle, topk_search
+from gristmill.llm import byte_bpe, chat_tools, decontaminate, ngram_join, quality_qda, secret_scan, shard_shuffle, topk_search
 from gristmill.llm.common import pick
 from gristmill.scratch import materialize
 
@@ -152,3 +152,8 @@ FROM shared WHERE 4 * shared >= 3 * (2 * (n - k + 1) - shared) GROUP BY doc_id,
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "start_word", "n_words", "shared", "total")
+
+
+@query("op2_ngram_jaccard")
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
