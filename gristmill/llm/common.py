@@ -63,6 +63,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast only if a count shows at most ``rows`` rows; beyond, the planner shuffles."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_below(df: DataFrame, rows: int, of: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast only if a count shows at most ``rows`` rows (of ``of``, where rows of ``df`` gather many); beyond, the planner shuffles."""
+    counted = df if of is None else of
+    return F.broadcast(df) if counted.limit(rows + 1).count() <= rows else df

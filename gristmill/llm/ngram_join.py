@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.common import broadcast_below, chunks, mix, pick, raw_bytes
 from gristmill.llm.components import linked_groups, with_payload
+from gristmill.llm.token_lists import BUCKET_TOKENS, PACKED, SHARED, TOKEN_BITS, packed, shared_tokens
 from gristmill.llm.words import shingle_sets
 from gristmill.scratch import materialize
 
@@ -42,8 +43,6 @@ SLACK, LEVELS = 0.1, 4
 #: Verifying a candidate costs as much as meeting so many rows of lists.
 VERIFY_COST = 200
 CHUNK = 1 << 20
-#: Tokens of prefixes are numbers of so many bits; a bucket holds about so many tokens.
-TOKEN_BITS, BUCKET_TOKENS = 40, 2_000_000
 BROADCAST_ROWS = 1_000_000
 
 
@@ -74,10 +73,7 @@ def prefix_length(n: int) -> int:
 
 
 def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Per batch of documents and bucket one row: the sorted tokens of longest prefixes, whose they are and their places.
-
-    A set that the task has met already is left out, so copies cost one entry a task.
-    """
+    """Packed tokens of longest prefixes; a set that the task has met already is left out, so copies cost one entry a task."""
     seen: set[int] = set()
     for batch in batches:
         for chunk in chunks(raw_bytes(batch.column("text")), 8 * CHUNK):
@@ -96,54 +92,7 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
                     sizes.append(n)
             if not keys:
                 continue
-            tokens, own, place = np.concatenate(tokens), np.concatenate(own), np.concatenate(place)
-            order = np.argsort(tokens, kind="stable")
-            tokens, own, place = tokens[order], own[order], place[order]
-            cuts = np.searchsorted(tokens, [b * (1 << TOKEN_BITS) // buckets for b in range(buckets + 1)])
-            for bucket, (begin, end) in enumerate(zip(cuts[:-1], cuts[1:])):
-                if begin < end:
-                    used, renamed = np.unique(own[begin:end], return_inverse=True)
-                    steps = np.diff(tokens[begin:end], prepend=np.uint64(0))
-                    yield pa.RecordBatch.from_pydict({
-                        "bucket": pa.array([bucket], pa.int32()),
-                        # differences byte by byte, high bytes together, compress well
-                        "tokens": pa.array([steps.view(np.uint8).reshape(-1, 8).T[:5].tobytes()], pa.binary()),
-                        "own": pa.array([renamed.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes()], pa.binary()),
-                        "place": pa.array([place[begin:end].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary()),
-                        "keys": pa.array([np.array(keys, np.int64)[used].tobytes()], pa.binary()),
-                        "sizes": pa.array([np.array(sizes, np.int64)[used].tobytes()], pa.binary()),
-                    })
-
-
-def _shared(key, table):
-    """Tokens of a bucket that several sets offer: one row each token and set."""
-    tokens, keys, sizes, place = [], [], [], []
-    for row in table.to_pylist():
-        steps = np.frombuffer(row["tokens"], np.uint8).reshape(5, -1).T
-        full = np.zeros((len(steps), 8), np.uint8)
-        full[:, :5] = steps
-        tokens.append(np.cumsum(full.view(np.uint64).ravel(), dtype=np.uint64).view(np.int64))
-        own = np.frombuffer(row["own"], np.uint16 if 2 * len(steps) == len(row["own"]) else np.uint32)
-        keys.append(np.frombuffer(row["keys"], np.int64)[own])
-        sizes.append(np.frombuffer(row["sizes"], np.int64)[own])
-        place.append(np.frombuffer(row["place"], np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel().astype(np.int64))
-    tokens, keys, sizes, place = map(np.concatenate, (tokens, keys, sizes, place))
-    # most tokens are alone in the corpus: drop them before the full sort
-    order = np.argsort(tokens, kind="stable")
-    same = tokens[order][1:] == tokens[order][:-1]
-    several = np.zeros(len(order), bool)
-    several[1:] |= same
-    several[:-1] |= same
-    order = order[several]
-    tokens, keys, sizes, place = tokens[order], keys[order], sizes[order], place[order]
-    order = np.lexsort((keys, tokens))
-    tokens, keys, sizes, place = tokens[order], keys[order], sizes[order], place[order]
-    first = np.ones(len(tokens), bool)
-    first[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-    tokens, keys, sizes, place = tokens[first], keys[first], sizes[first], place[first]
-    _, at, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-    keep = counts[at] > 1
-    return pa.table({"token": tokens[keep], "id": keys[keep], "size": sizes[keep], "place": place[keep]})
+            yield from packed(np.concatenate(tokens), np.concatenate(own), np.concatenate(place), keys, sizes, buckets)
 
 
 def _alive(postings: DataFrame, need: Column) -> DataFrame:
@@ -206,11 +155,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sets = materialize(own.select("doc", row.alias("row"), sets_column(F.col("text")).alias("s")).select("doc", "row", "s.*"), "sets")
     total = sets.agg(F.sum(F.floor(F.col("n") * (1 - NUMERATOR / DENOMINATOR + SLACK)) + 1)).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
-    offered = own.select("text").mapInArrow(
-        lambda b: _offered(b, buckets), "bucket int, tokens binary, own binary, place binary, keys binary, sizes binary"
-    )
-    shared = offered.groupBy("bucket").applyInArrow(_shared, "token long, id long, size long, place long")
-    postings = adaptive_postings(materialize(shared, "shared"))
+    offered = own.select("text").mapInArrow(lambda b: _offered(b, buckets), PACKED)
+    postings = adaptive_postings(materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED), "shared"))
     classes = sets.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc", "row")).alias("first"), F.min("doc").alias("doc"))
     wanted = postings.select(F.col("id")).distinct().join(classes, F.col("id") == F.col("key")).select("id", F.col("first.row").alias("row"))
     wanted = materialize(wanted, "wanted")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_bpe, chat_tools, decontaminate, ngram_join, quality_qda, secret_scan, shard_shuffle, topk_search
+from gristmill.llm import byte_bpe, chat_tools, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, topk_search
 from gristmill.llm.common import pick
 from gristmill.scratch import materialize
 
@@ -157,3 +157,14 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_ngram_jaccard")
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
+    plain, kept, n_gone = line_dedup.without_repeated_lines(docs)
+    lines = F.when(F.col("__1").isNull(), 0).otherwise(F.size(F.split("__1", "\n"))).cast("long")
+    return plain.select(
+        F.col("__0").alias("doc_id"), lines.alias("n_lines"), n_gone.alias("n_removed"),
+        F.sha2(F.coalesce(kept, F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )

@@ -28,19 +28,28 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased (A-Z) words of all texts in order, and where each text's words begin (one more than texts).
+def spans_of_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words in lower-cased bytes, and where each begins and ends.
 
     A word is a longest run without the bytes 32 and 9 to 13.  A word's hash is a polynomial in random byte values,
     cut out of one running sum, and mixed.
     """
-    raw = _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     inside = ~_IS_SPACE[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     up, down = powers(len(raw) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64)])
-    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
+
+
+def lowered(texts: list[bytes]) -> np.ndarray:
+    """Bytes of all texts with A-Z in lower case, a blank after each."""
+    return _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and where each text's words begin (one more than texts)."""
+    hashes, starts, _ = spans_of_words(lowered(texts))
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
     return hashes, np.searchsorted(starts, begins)
 
