@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_bpe, chat_tools, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, topk_search
+from gristmill.llm import byte_bpe, chat_tools, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, suffix_dedup, topk_search
 from gristmill.llm.common import pick
 from gristmill.scratch import materialize
 
@@ -168,3 +168,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__0").alias("doc_id"), lines.alias("n_lines"), n_gone.alias("n_removed"),
         F.sha2(F.coalesce(kept, F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))

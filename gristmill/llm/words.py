@@ -28,6 +28,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def byte_values(raw: np.ndarray) -> np.ndarray:
+    """The random value of each byte."""
+    return _BYTE[raw]
+
+
 def spans_of_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words in lower-cased bytes, and where each begins and ends.
 
