@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import broadcast_below, pick, restored, with_number
+from gristmill.llm.common import broadcast_below, pick, restored, row_key, with_number
 from gristmill.scratch import materialize
 
 SHINGLE = 5
@@ -164,11 +164,6 @@ def contaminated_windows(docs: DataFrame, items: DataFrame, id_column: str = "do
     )
 
 
-def row_key(id_column: Column, text: Column) -> Column:
-    """64-bit name of a document: its id and its text."""
-    return F.xxhash64(id_column.cast("string"), text)
-
-
 def clean_documents(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents (all rows and columns) without those that hold a verified window of an item."""
     found = contaminated_windows(docs, items, id_column, text_column).select(F.col("key").alias("__found")).distinct()

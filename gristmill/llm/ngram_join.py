@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import broadcast_below, chunks, mix, pick, raw_bytes
+from gristmill.llm.common import broadcast_below, chunks, mix, pick, raw_bytes, restored, row_key, with_number
 from gristmill.llm.components import linked_groups, with_payload
 from gristmill.llm.token_lists import BUCKET_TOKENS, PACKED, SHARED, TOKEN_BITS, packed, shared_tokens
 from gristmill.llm.words import shingle_sets
@@ -149,9 +149,12 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id that links lead to), and ``row``, the hash of id and text."""
+    """One row per document: id, n_shingles, component_id (smallest id that links lead to), ``row`` (hash of id and text), ``root``.
+
+    ``root`` names the component (a class of it; null for documents without a set).
+    """
     own = pick(docs, id_column, text_column).select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
-    row = F.xxhash64(F.col("doc").cast("string"), "text")
+    row = row_key(F.col("doc"), F.col("text"))
     sets = materialize(own.select("doc", row.alias("row"), sets_column(F.col("text")).alias("s")).select("doc", "row", "s.*"), "sets")
     total = sets.agg(F.sum(F.floor(F.col("n") * (1 - NUMERATOR / DENOMINATOR + SLACK)) + 1)).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
@@ -165,7 +168,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     groups = linked_groups(postings, lambda pairs: similar_pairs(pairs, texts), (NUMERATOR, DENOMINATOR))
     rooted = classes.join(groups, F.col("key") == F.col("id"), "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
-    named = rooted.join(smallest, "root").select("key", "component")
-    alone = sets.where("key IS NULL").select("doc", "row", "n", F.col("doc").alias("component"))
-    out = sets.where("key IS NOT NULL").join(named, "key").select("doc", "row", "n", "component").unionByName(alone)
-    return out.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "row")
+    named = rooted.join(smallest, "root").select("key", "component", "root")
+    alone = sets.where("key IS NULL").select("doc", "row", "n", F.col("doc").alias("component"), F.lit(None).cast("long").alias("root"))
+    out = sets.where("key IS NOT NULL").join(named, "key").select("doc", "row", "n", "component", "root").unionByName(alone)
+    return out.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "row", "root")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id (then hash of id and text) of every component, and all without a set; equal rows once."""
+    found = materialize(near_duplicates(docs, id_column, text_column), "components")
+    first = found.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col(id_column).alias("doc"), "row")).alias("first"))
+    staying = first.select(F.col("first.row").alias("__row")).unionByName(found.where("root IS NULL").select(F.col("row").alias("__row")))
+    copies = found.groupBy(F.col("row").alias("__row")).agg(F.count(F.lit(1)).alias("__copies"))
+    staying = materialize(staying.distinct().join(copies, "__row"), "staying")
+    plain = with_number(docs, (id_column, text_column), lambda c: {"__key": row_key(c[id_column], c[text_column])})
+    kept = plain.join(broadcast_below(staying, BROADCAST_ROWS), F.col("__key") == F.col("__row"))
+    once = kept.where("__copies = 1").unionByName(kept.where("__copies > 1").dropDuplicates(["__key"]))
+    return restored(once, docs)

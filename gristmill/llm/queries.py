@@ -7,17 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from gristmill.llm import byte_bpe, chat_tools, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, suffix_dedup, topk_search
 from gristmill.llm.common import pick
+from gristmill.llm.settings import SHARDS, THRESHOLD, table, tokenizer
 from gristmill.scratch import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXPECTED: dict[str, str] = {}
 
-SHARDS = 16
-#: Scores below this are label 0.
-THRESHOLD = 0.3
-
 
 def query(name: str, sql: str | None = None):
     def register(function):
@@ -29,17 +28,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def tokenizer() -> tuple[str, str]:
-    """Path of the rank file and the split pattern of the query's tokenizer."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-
-
 @query("op1_shard")
 def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole rows are exchanged; the digests are taken where they arrive."""
@@ -156,7 +144,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_ngram_jaccard")
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row", "root")
 
 
 @query("op8_line_dedup")
@@ -173,3 +161,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
