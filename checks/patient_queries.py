@@ -242,7 +242,7 @@ def running_sum(spark, d):
 SELECT flag, week, quantity, CAST(sum(quantity) OVER (ORDER BY week RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
   AS so_far FROM series"""))
 def running_sum_range(spark, d):
-    return windows.running(series(spark, d), [], [F.asc("week")], "quantity", "so_far", by_range=True)
+    return windows.running(series(spark, d), [], [F.asc("week")], "quantity", "so_far", by_range=["week"])
 
 
 @query("moving_avg", with_sql(SERIES, select=f"""

@@ -49,7 +49,8 @@ def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
     """Array of structs with the named fields; empty for NULL, broken or non-list text.
 
     ``fields`` maps each key of the items to ``bigint`` or ``string``.  An item
-    that is not a dict yields a struct of NULLs, a missing key a NULL field.
+    that is not a dict yields a struct of NULLs, a missing key a NULL field; a
+    ``bigint`` that is no whole number raises.
     """
     read = _literal_reader()
     kinds = dict(fields)
@@ -61,11 +62,10 @@ def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
             return None
         if kind == "string":
             return value if isinstance(value, str) else str(value)
-        try:
-            number = int(value)
-        except (TypeError, ValueError, OverflowError):
-            return None
-        return number if -(2**63) <= number < 2**63 else None
+        number = int(value)  # strict, as a key cast should be: raises on what is no whole number
+        if not -(2**63) <= number < 2**63:
+            raise ValueError(f"{name} {value!r} has more than 64 bits")
+        return number
 
     def parse(text):
         items = read(text) if text is not None else None

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.ordering import largest_first, smallest_first
-from gristmill.operators.joins import attach_group_stats, broadcast_rows
+from gristmill.operators.joins import attach_group_stats
+from gristmill.scratch import materialize
 
 
 def present_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,9 +29,9 @@ def value_counts(df: DataFrame, column: str, count: str = "count") -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str, count: str, ratio: str, scale: float = 1.0) -> DataFrame:
-    """Frequency and share of the total, which is a scalar subquery rather than a window over everything."""
-    counts = df.groupBy(column).agg(F.count("*").alias(count))
-    total = df.agg(F.count("*")).scalar()
+    """Frequency and share of the total, which is the sum of the written frequencies: the input is read once."""
+    counts = materialize(df.groupBy(column).agg(F.count("*").alias(count)), "frequencies")
+    total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(ratio, F.col(count) * scale / total)
 
 
@@ -41,7 +42,8 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 def keep_top_values(df: DataFrame, column: str, k: int) -> DataFrame:
     """Rows whose value is among the ``k`` most frequent ones."""
-    return df.join(broadcast_rows(top_values(df, column, k), k), column, "left_semi")
+    df = materialize(df, "rows")  # read for the values and for the rows
+    return df.join(top_values(df, column, k), column, "left_semi")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,9 +1,8 @@
 """Equi-joins with checks, group statistics beside rows, and pair counts.
 
-No broadcast is forced on data that may grow.  Small sides reach the planner as
-written tables of known size, and Spark broadcasts them below
-``spark.sql.autoBroadcastJoinThreshold``; above it the join shuffles and
-adaptive execution splits hot keys.
+No broadcast is forced.  Small sides reach the planner as written tables of known
+size, and Spark broadcasts them below ``spark.sql.autoBroadcastJoinThreshold``;
+above it the join shuffles and adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -15,24 +14,22 @@ from pyspark.sql import functions as F
 
 from gristmill.scratch import materialize
 
-BROADCAST_ROW_BOUND = 10_000
-
-
-def broadcast_rows(df: DataFrame, at_most: int) -> DataFrame:
-    """Broadcast hint for a side that cannot have more than ``at_most`` rows by construction."""
-    return F.broadcast(df) if at_most <= BROADCAST_ROW_BOUND else df
+#: Item pairs of one group that a task counts; wider groups are dealt out to more tasks.
+PAIRS_A_TASK = 100_000
 
 
 class RepeatedKeyError(ValueError):
     """A join side that was declared unique repeats a key."""
 
 
-def require_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
-    """Raise when a key repeats; one aggregation, stops at the first hit."""
+def require_unique(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """The same rows, written once; raises when a key repeats.  Check and join both read the written table."""
+    df = materialize(df, f"unique-{side}")
     repeated = df.groupBy(*keys).agg(F.count("*").alias("key_rows")).where("key_rows > 1")
     found = repeated.head(1)
     if found:
         raise RepeatedKeyError(f"{side} side repeats {found[0].asDict()}")
+    return df
 
 
 def inner_join(
@@ -40,14 +37,14 @@ def inner_join(
 ) -> DataFrame:
     """Inner equi-join; sides that are declared unique are checked first."""
     if unique_left:
-        require_unique(left, keys, "left")
+        left = require_unique(left, keys, "left")
     if unique_right:
-        require_unique(right, keys, "right")
+        right = require_unique(right, keys, "right")
     return left.join(right, list(keys), "inner")
 
 
 def join_report(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable: str) -> DataFrame:
-    """One row: rows before and after an inner join, repeated keys on each side and NULLs it carried over.
+    """One row: key types, rows before and after an inner join, repeated keys on each side and NULLs it carried over.
 
     Worked out from rows per key, so the joined rows are never produced.
     ``nullable`` is a column of the right side.
@@ -72,6 +69,10 @@ def join_report(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable
         total(pairs).alias("joined_rows"),
         total(F.greatest(pairs - 1, F.lit(0))).alias("joined_repeats"),
         total(F.when(present, left_n * F.coalesce("m", F.lit(0))).otherwise(0)).alias("joined_missing"),
+        *(
+            F.lit(", ".join(kind for key in keys for name, kind in side.dtypes if name == key)).alias(f"{label}_key_types")
+            for label, side in (("left", left), ("right", right))
+        ),
     )
 
 
@@ -90,66 +91,33 @@ def attach_group_stats(df: DataFrame, groups: Sequence[str], stats: dict[str, Co
 
 
 def pair_counts(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    left_item: str,
-    right_item: str,
-    min_count: int,
-    count: str,
-    wide_group: int = 1_000_000,
+    left: DataFrame, right: DataFrame, on: str, left_item: str, right_item: str, min_count: int, count: str
 ) -> DataFrame:
     """For each (left item, right item): in how many ``on`` groups both occur, if at least ``min_count``.
 
-    Exact, without writing out all pairs of a hot group:
-
-    * repeated items of a group are folded, and items that occur in fewer than
-      ``min_count`` groups go first, as no pair of theirs can qualify;
-    * groups with at most ``wide_group`` pairs are joined as they are;
-    * for wider groups, pairs already met elsewhere are looked up by their two
-      items.  Pairs met only in wide groups need ``min_count`` of them, so there
-      the same pruning runs again on the wide groups alone.
+    Repeated items of a group are folded, and items that occur in fewer than
+    ``min_count`` groups go first, as no pair of theirs can qualify.  The left
+    items of a group are dealt out to one task for every ``PAIRS_A_TASK`` of its
+    pairs, and its right items go to each of them; pairs are counted where they
+    are made, before anything moves.
     """
-    a, b = F.col("__a"), F.col("__b")
-    keys = ["__a", "__b"]
 
     def occurrences(df: DataFrame, item: str, name: str) -> DataFrame:
-        return df.select(F.col(on).alias("__k"), F.col(item).alias(name)).na.drop().distinct()
-
-    def frequent(df: DataFrame, name: str) -> DataFrame:
-        enough = df.groupBy(name).agg(F.count("*").alias("__n")).where(F.col("__n") >= min_count)
-        return df.join(enough.select(name), name, "left_semi")
-
-    def paired(x: DataFrame, y: DataFrame) -> DataFrame:
-        return x.join(y, "__k").groupBy(*keys).agg(F.count("*").alias(count))
+        # written, as pruning reads it twice
+        rows = df.select(F.col(on).alias("__k"), F.col(item).alias(name)).na.drop().distinct()
+        rows = materialize(rows, f"pair{name}")
+        enough = rows.groupBy(name).agg(F.count("*").alias("__n")).where(F.col("__n") >= min_count)
+        return rows.join(enough.select(name), name, "left_semi")
 
-    # written before pruning, which reads them twice
-    lefts = materialize(occurrences(left, left_item, "__a"), "pair-left")
-    rights = materialize(occurrences(right, right_item, "__b"), "pair-right")
-    lefts = materialize(frequent(lefts, "__a"), "pair-left-frequent")
-    rights = materialize(frequent(rights, "__b"), "pair-right-frequent")
+    lefts, rights = occurrences(left, left_item, "__a"), occurrences(right, right_item, "__b")
     widths = (
         lefts.groupBy("__k").agg(F.count("*").alias("__x"))
         .join(rights.groupBy("__k").agg(F.count("*").alias("__y")), "__k")
+        .select("__k", F.ceil(F.col("__x") * F.col("__y") / PAIRS_A_TASK).cast("int").alias("__tasks"))
     )
-    wide = materialize(widths.where(F.col("__x") * F.col("__y") > wide_group).select("__k"), "pair-wide")
-    named = [a.alias(left_item), b.alias(right_item), F.col(count).cast("bigint").alias(count)]
-    if wide.isEmpty():
-        return paired(lefts, rights).where(F.col(count) >= min_count).select(*named)
-
-    narrow = paired(lefts.join(wide, "__k", "left_anti"), rights.join(wide, "__k", "left_anti"))
-    narrow = materialize(narrow, "pair-narrow")
-    wide_left, wide_right = lefts.join(wide, "__k", "left_semi"), rights.join(wide, "__k", "left_semi")
-    # pairs with a narrow group: add the wide groups that hold both items
-    met = (
-        narrow.select(*keys)
-        .join(wide_left, "__a")
-        .join(wide_right.withColumn("__hit", F.lit(True)), ["__k", "__b"], "left_semi")
-        .groupBy(*keys)
-        .agg(F.count("*").alias("__more"))
+    dealt = lefts.join(widths, "__k").withColumn("__task", F.pmod(F.xxhash64("__a"), F.col("__tasks")).cast("int"))
+    copied = rights.join(widths, "__k").withColumn("__task", F.explode(F.sequence(F.lit(0), F.col("__tasks") - 1)))
+    pairs = dealt.join(copied, ["__k", "__task"]).groupBy("__a", "__b").agg(F.count("*").alias(count))
+    return pairs.where(F.col(count) >= min_count).select(
+        F.col("__a").alias(left_item), F.col("__b").alias(right_item), F.col(count).cast("bigint").alias(count)
     )
-    known = narrow.join(met, keys, "left").withColumn(count, F.col(count) + F.coalesce("__more", F.lit(0)))
-    # pairs without one: both items must fill min_count wide groups on their own
-    alone = paired(frequent(wide_left, "__a"), frequent(wide_right, "__b")).join(narrow, keys, "left_anti")
-    every = known.select(*keys, count).unionByName(alone.select(*keys, count))
-    return every.where(F.col(count) >= min_count).select(*named)

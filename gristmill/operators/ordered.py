@@ -73,9 +73,11 @@ def tiles(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int,
     """NTILE(n): near-equal slices of every group, the larger ones first."""
     numbered = positions(df, groups, order, "__number")
     if groups:
+        numbered = materialize(numbered, "numbered")
         sized = attach_group_stats(numbered, groups, {"__rows": F.count("*")})
     else:
-        sized = numbered.withColumn("__rows", df.agg(F.count("*")).scalar())
+        numbered = materialize(numbered, "numbered")
+        sized = numbered.withColumn("__rows", numbered.agg(F.count("*")).scalar())
     number, rows = F.col("__number"), F.col("__rows")
     small, larger = F.floor(rows / n), rows % n
     in_larger = number <= larger * (small + 1)
@@ -120,7 +122,7 @@ def medians(df: DataFrame, groups: Sequence[str], values: Sequence[str]) -> Data
     ).where("__value IS NOT NULL")
     keys = [*groups, "__metric"]
     levels = long.groupBy(*keys, "__value").agg(F.count("*").alias("__ties"))
-    before = totals_before(levels, keys, [smallest_first("__value")], {"__before": "__ties"})
+    before = materialize(totals_before(levels, keys, [smallest_first("__value")], {"__before": "__ties"}), "levels")
     sized = attach_group_stats(before, keys, {"__rows": F.sum("__ties")})
     low, high = F.floor((F.col("__rows") + 1) / 2), F.floor((F.col("__rows") + 2) / 2)
 
@@ -134,19 +136,11 @@ def medians(df: DataFrame, groups: Sequence[str], values: Sequence[str]) -> Data
     )
 
 
-def smallest_share(df: DataFrame, group: str, order: str, share: float, flag: str) -> DataFrame:
+def smallest_share(df: DataFrame, group: str, order: Sequence[str], share: float, flag: str) -> DataFrame:
     """Flag the first ``round(share * rows)`` rows of every group by ``order`` (unique in its group)."""
-    numbered = positions(df.select(group, order), [group], [smallest_first(order)], "__number")
+    numbered = materialize(positions(df, [group], [smallest_first(c) for c in order], "__number"), "numbered")
     sized = attach_group_stats(numbered, [group], {"__rows": F.count("*")})
-    last = sized.where(F.col("__number") == F.round(F.col("__rows") * share)).select(
-        F.col(group).alias("__group"), F.col(order).alias("__last")
-    )
-    last = materialize(last, "share-bounds")
-    return (
-        df.join(last, F.col(group).eqNullSafe(F.col("__group")), "left")
-        .withColumn(flag, F.coalesce(F.col(order) <= F.col("__last"), F.lit(False)))
-        .drop("__group", "__last")
-    )
+    return sized.withColumn(flag, F.col("__number") <= F.round(F.col("__rows") * share)).drop("__number", "__rows")
 
 
 def area_under_curve(df: DataFrame, score: str, actual: str, name: str = "auc") -> DataFrame:

@@ -2,22 +2,26 @@
 
 Top-N filters keep at most N rows per group *before* the shuffle (Spark adds a
 group limit in front of it), so a group that holds most of the table costs one
-task no more than N rows from each mapper.  Neighbour and frame operators order
-a whole group and are meant for series that were aggregated to one row per
-period; for positions in groups of any size use ``operators.ordered``.
+task no more than N rows from each mapper.  Neighbour and frame operators number
+the rows of a group first (``operators.ordered``) and then look at blocks of
+them with the few rows in front that a frame reaches, so a group of any size,
+or the whole table as one, is spread over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gristmill.functions.ordering import sql_asc, sql_desc
-from gristmill.operators.joins import broadcast_rows
+from gristmill.operators.joins import attach_group_stats
+from gristmill.operators.ordered import positions, totals_before
 from gristmill.scratch import materialize
 
+BLOCK_ROWS = 100_000
+
 
 def top_rows(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, number: str = "row_num"
@@ -56,8 +60,7 @@ def top_ranks(
         .where(F.col(rank).between(low, n))
         .drop("__ties", "__n")
     )
-    # n rows in all without groups; with groups the table is written and its size measured
-    ranked = materialize(ranked, "top-ranks") if groups else broadcast_rows(ranked, n)
+    ranked = materialize(ranked, "top-ranks")  # its size is known then
     right = ranked.withColumnsRenamed({c: f"__r_{c}" for c in [*groups, value]})
     same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in [*groups, value]]
     return df.join(right, same, "inner").drop(*[f"__r_{c}" for c in [*groups, value]])
@@ -68,6 +71,27 @@ def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> Dat
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def _in_blocks(df: DataFrame, groups: Sequence[str], order: Sequence[Column], before: int, after: int) -> tuple[DataFrame, WindowSpec]:
+    """Rows numbered in their group and cut into blocks of ``BLOCK_ROWS``, and a window over a block.
+
+    The ``before`` last rows of a block stand again in front of the next one, the ``after`` first behind the one before;
+    ``__own`` tells a block's rows from such copies.
+    """
+    if max(before, after) > BLOCK_ROWS:
+        raise ValueError(f"a frame may reach over {BLOCK_ROWS} rows")
+    place = F.col("__at") - 1
+    block, inside = F.floor(place / BLOCK_ROWS), place % BLOCK_ROWS
+    homes = F.array_compact(F.array(
+        block, F.when(inside >= BLOCK_ROWS - before, block + 1), F.when((inside < after) & (block > 0), block - 1)
+    ))
+    dealt = positions(df, groups, order, "__at").withColumn("__block", F.explode(homes)).withColumn("__own", F.col("__block") == block)
+    return dealt, Window.partitionBy(*groups, "__block").orderBy("__at")
+
+
+def _own_rows(df: DataFrame) -> DataFrame:
+    return df.where("__own").drop("__at", "__block", "__own")
+
+
 def neighbours(
     df: DataFrame,
     groups: Sequence[str],
@@ -77,41 +101,51 @@ def neighbours(
     following: str | None = None,
     change: str | None = None,
 ) -> DataFrame:
-    """Value of the previous and next *present* row of a series, and the change from the previous."""
-    window = Window.partitionBy(*groups).orderBy(*order)
+    """Value of the previous and next *present* row of a series, and the change from the previous; ``order`` is unique."""
+    dealt, window = _in_blocks(df, groups, order, 1, 1 if following else 0)
     if previous:
-        df = df.withColumn(previous, F.lag(value).over(window))
+        dealt = dealt.withColumn(previous, F.lag(value).over(window))
     if following:
-        df = df.withColumn(following, F.lead(value).over(window))
+        dealt = dealt.withColumn(following, F.lead(value).over(window))
     if change:
-        df = df.withColumn(change, F.col(value) - F.lag(value).over(window))
-    return df
+        dealt = dealt.withColumn(change, F.col(value) - F.lag(value).over(window))
+    return _own_rows(dealt)
 
 
 def ends_of_series(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, first: str, last: str
 ) -> DataFrame:
-    """First and last value of the whole series beside each row."""
-    whole = (
-        Window.partitionBy(*groups)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    return df.withColumns({first: F.first(value).over(whole), last: F.last(value).over(whole)})
+    """First and last value of the whole series beside each row; ``order`` is unique."""
+    numbered = materialize(positions(df, groups, order, "__at"), "numbered")
+    ends = {first: F.min_by(value, "__at"), last: F.max_by(value, "__at")}
+    if groups:
+        return attach_group_stats(numbered, groups, ends).drop("__at")
+    return numbered.crossJoin(numbered.agg(*[c.alias(n) for n, c in ends.items()])).drop("__at")  # beside one row
 
 
 def running(
-    df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, total: str, by_range: bool = False
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, total: str, by_range: Sequence[str] = ()
 ) -> DataFrame:
-    """Running sum along a series; ``by_range`` adds rows with equal order values together."""
-    window = Window.partitionBy(*groups).orderBy(*order)
-    frame = window.rangeBetween if by_range else window.rowsBetween
-    return df.withColumn(total, F.sum(value).over(frame(Window.unboundedPreceding, Window.currentRow)))
+    """Running sum along a series; ``order`` is unique, or names the ``by_range`` columns, whose equal values are added together."""
+    if by_range:
+        levels = df.groupBy(*groups, *by_range).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
+    else:
+        levels = df.withColumns({"__sum": F.col(value), "__n": F.when(F.col(value).isNull(), 0).otherwise(1)})
+    summed = totals_before(levels, groups, order, {"__sum_before": "__sum", "__n_before": "__n"})
+    so_far = F.when(F.col("__n_before") + F.col("__n") > 0, F.col("__sum_before") + F.coalesce("__sum", F.lit(0)))
+    summed = summed.withColumn(total, so_far).drop("__sum", "__n", "__sum_before", "__n_before")
+    if not by_range:
+        return summed
+    keys = [*groups, *by_range]
+    right = summed.select(*[F.col(c).alias(f"__r_{c}") for c in keys], total)
+    same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in keys]
+    return df.join(right, same, "inner").drop(*[f"__r_{c}" for c in keys])
 
 
 def moving(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, rows: int, functions: dict[str, str]
 ) -> DataFrame:
-    """Aggregates (output name -> avg, min, max, sum, count) over the current and ``rows - 1`` earlier rows."""
-    frame = Window.partitionBy(*groups).orderBy(*order).rowsBetween(1 - rows, Window.currentRow)
-    return df.withColumns({out: getattr(F, name)(value).over(frame) for out, name in functions.items()})
+    """Aggregates (output name -> avg, min, max, sum, count) over the current and ``rows - 1`` earlier rows; ``order`` is unique."""
+    dealt, window = _in_blocks(df, groups, order, rows - 1, 0)
+    frame = window.rowsBetween(1 - rows, Window.currentRow)
+    return _own_rows(dealt.withColumns({out: getattr(F, name)(value).over(frame) for out, name in functions.items()}))

@@ -70,26 +70,32 @@ FIELDS = {"id": "bigint", "name": "string"}
 
 def test_literal_items(spark):
     cells = [
-        "[{'id': 931, 'name': 'jealousy'}, {'id': 4290, 'name': 'toy'}]",
-        "[{'id': 1, 'name': \"toy's\"}]",
+        "[{'id': 11, 'name': 'harbour'}, {'id': 1200, 'name': 'violin'}]",
+        "[{'id': 1, 'name': \"violin's\"}]",
         "[{'id': 1, 'name': None}]",
         "[5, {'id': 2, 'name': 'b'}]",
         "[]", None, "broken", "{'id': 1}", "[null]", "[{'id': true}]", "[NaN]",
         r"[{'id': 3, 'name': 'it\'s é'}]",
         "[{'id': '7', 'name': 12}]",
-        "[{'id': 'x', 'name': 'say \"hi\"'}]",
+        "[{'id': None, 'name': 'say \"hi\"'}]",
         "[{'id': True, 'name': 'None', 'other': (1, 2)}]",
-        "[{'id': 99999999999999999999, 'name': 'a' 'b'}]",
+        "[{'name': 'a' 'b'}]",
     ]
     got = applied(spark, cells, lambda c: nested.literal_items(c, FIELDS))
     got = [[tuple(item) for item in cell] for cell in got]
     assert got == [
-        [(931, "jealousy"), (4290, "toy")], [(1, "toy's")], [(1, None)], [(None, None), (2, "b")],
+        [(11, "harbour"), (1200, "violin")], [(1, "violin's")], [(1, None)], [(None, None), (2, "b")],
         [], [], [], [], [], [], [],
         [(3, "it's é")], [(7, "12")], [(None, 'say "hi"')], [(1, "None")], [(None, "ab")],
     ]
 
 
+@pytest.mark.parametrize("cell", ["[{'id': 'x'}]", "[{'id': 99999999999999999999}]"])
+def test_item_ids_are_strict(spark, cell):
+    with pytest.raises(Exception, match="x|64 bits"):
+        applied(spark, [cell], lambda c: nested.literal_items(c, FIELDS))
+
+
 def test_first_name_never_looks_past_the_first_item(spark):
     cells = ["[{'name': 'a'}, {'name': 'b'}]", "[5, {'name': 'b'}]", "[]", None, "[{'x': 1}]"]
     got = applied(spark, cells, lambda c: nested.first_name(nested.literal_items(c, {"name": "string"})))

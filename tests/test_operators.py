@@ -63,7 +63,7 @@ def test_medians_match_builtin(skewed):
 
 
 def test_smallest_share_takes_the_exact_share(skewed):
-    flagged = ordered.smallest_share(skewed.where("g IS NOT NULL"), "g", "id", 0.25, "t")
+    flagged = ordered.smallest_share(skewed.where("g IS NOT NULL"), "g", ["id"], 0.25, "t")
     got = flagged.groupBy("g").agg(F.count("*").alias("n"), F.count_if("t").alias("k")).collect()
     assert all(r["k"] == int(r["n"] * 0.25 + 0.5) for r in got)
 
@@ -98,16 +98,17 @@ def test_group_stats_do_not_shuffle_the_rows(skewed):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
-@pytest.mark.parametrize("wide", [1_000_000, 20, 0])
+@pytest.mark.parametrize("pairs_a_task", [1_000_000, 20])
 @pytest.mark.parametrize("least", [1, 2, 3])
-def test_pair_counts_match_brute_force(spark, wide, least):
+def test_pair_counts_match_brute_force(spark, monkeypatch, pairs_a_task, least):
+    monkeypatch.setattr(joins, "PAIRS_A_TASK", pairs_a_task)
     a = spark.range(600).selectExpr("id % 37 AS k", "id * 31 % 11 AS a")
     a = a.union(spark.range(300).selectExpr("1 AS k", "id % 60 AS a"))
     b = spark.range(500).selectExpr("id % 41 AS k", "id * 17 % 7 AS b")
     b = b.union(spark.range(300).selectExpr("1 AS k", "id % 50 AS b")).union(spark.sql("SELECT 2L, NULL"))
     b = b.union(spark.range(300).selectExpr("2 AS k", "id % 50 AS b"))
     want = a.join(b, "k").where("b IS NOT NULL").groupBy("a", "b").agg(F.count_distinct("k").alias("n")).where(f"n >= {least}")
-    same(joins.pair_counts(a, b, "k", "a", "b", least, "n", wide_group=wide), want)
+    same(joins.pair_counts(a, b, "k", "a", "b", least, "n"), want)
 
 
 def test_unique_join_raises_on_repeats(spark):
@@ -164,14 +165,14 @@ def test_join_report_matches_join(spark):
 
 def test_pivot_and_long(spark):
     df = spark.createDataFrame(
-        [(1990, "toy", "A"), (1990, "toy", None), (2000, "boy", "B"), (2000, "rare", "C"), (2000, "boy", "D"), (None, "toy", "E")],
+        [(1990, "violin", "A"), (1990, "violin", None), (2000, "harbour", "B"), (2000, "rare", "C"), (2000, "harbour", "D"), (None, "violin", "E")],
         "decade int, word string, title string",
     )
     wide = reshape.count_pivot(df, "decade", "word", "title", 2)
-    assert rows(wide, "decade", "boy", "toy") == [(1990, 0, 1), (2000, 2, 0)]
-    long = reshape.to_long(wide, ["decade"], ["boy", "toy"])
-    assert rows(long) == [(1990, "boy", 0.0), (1990, "toy", 1.0), (2000, "boy", 2.0), (2000, "toy", 0.0)]
-    assert rows(aggregates.keep_top_values(df, "word", 1), "word") == [("toy",)] * 3
+    assert rows(wide, "decade", "harbour", "violin") == [(1990, 0, 1), (2000, 2, 0)]
+    long = reshape.to_long(wide, ["decade"], ["harbour", "violin"])
+    assert rows(long) == [(1990, "harbour", 0.0), (1990, "violin", 1.0), (2000, "harbour", 2.0), (2000, "violin", 0.0)]
+    assert rows(aggregates.keep_top_values(df, "word", 1), "word") == [("violin",)] * 3
 
 
 def test_shares_and_rates(spark):
@@ -185,3 +186,41 @@ def test_neighbours_use_present_rows(spark):
     df = spark.createDataFrame([("d", 2020, 1, 5), ("d", 2020, 3, 9), ("e", 2020, 1, 1)], "g string, y int, s int, n int")
     got = windows.neighbours(df, ["g"], [F.asc("y"), F.asc("s")], "n", previous="p", change="c")
     assert rows(got, "g", "s", "p", "c") == [("d", 1, None, None), ("d", 3, 5, 4), ("e", 1, None, None)]
+
+
+@pytest.mark.parametrize("groups", [["g"], []])
+def test_neighbours_and_frames_equal_windows(spark, monkeypatch, groups):
+    """Blocks of seven rows against windows over whole groups."""
+    monkeypatch.setattr(windows, "BLOCK_ROWS", 7)
+    df = spark.range(200).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'a' ELSE 'b' END AS g",
+                                     "CASE WHEN id % 5 > 0 AND id > 9 THEN id * 37 % 41 END AS v").repartition(4)
+    order, whole = [F.asc("id")], Window.partitionBy(*groups).orderBy("id")
+    got = windows.neighbours(df, groups, order, "v", previous="p", following="f", change="c")
+    want = df.withColumns({"p": F.lag("v").over(whole), "f": F.lead("v").over(whole), "c": F.col("v") - F.lag("v").over(whole)})
+    same(got, want)
+    same(windows.moving(df, groups, order, "v", 6, {"m": "max", "n": "count"}),
+         df.withColumns({"m": F.max("v").over(whole.rowsBetween(-5, 0)), "n": F.count("v").over(whole.rowsBetween(-5, 0))}))
+    same(windows.running(df, groups, order, "v", "s"), df.withColumn("s", F.sum("v").over(whole.rowsBetween(Window.unboundedPreceding, 0))))
+    tied = Window.partitionBy(*groups).orderBy("v").rangeBetween(Window.unboundedPreceding, 0)
+    present = df.where("v IS NOT NULL")
+    same(windows.running(present, groups, [F.asc("v")], "id", "s", by_range=["v"]), present.withColumn("s", F.sum("id").over(tied)))
+    ends = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    same(windows.ends_of_series(df, groups, order, "id", "a", "z"),
+         df.withColumns({"a": F.first("id").over(ends), "z": F.last("id").over(ends)}))
+    with pytest.raises(ValueError, match="reach"):
+        windows.moving(df, groups, order, "v", 20, {"m": "max"})
+
+
+def test_shares_and_top_values_read_their_input_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(100).selectExpr("id % 4 AS g").mapInArrow(seen, "g long")
+    assert {r["n"] for r in aggregates.value_shares(df, "g", "n", "r").collect()} == {25} and read.value == 100
+    assert aggregates.keep_top_values(df, "g", 2).count() == 50 and read.value == 200
+    unique = spark.range(50).selectExpr("id AS g").mapInArrow(seen, "g long")
+    assert joins.inner_join(unique, unique, ["g"], unique_left=True).count() == 50 and read.value == 300
