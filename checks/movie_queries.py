@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.bindings import KEYWORD_NAME, KEYWORD_NO, LINE_ORDER, feed, table
+from checks.bindings import KEYWORDS, KEYWORD_NAME, KEYWORD_NO, LINE_ORDER, feed, table
 from checks.registry import query, rounded, with_sql
 from gristmill.functions.nested import first_name, literal_items
 from gristmill.operators import quality
@@ -192,7 +192,7 @@ SELECT (SELECT count(*) FROM clean) AS left_rows, (SELECT count(*) FROM keywords
   (SELECT count(*) - count(DISTINCT movie_id) FROM clean) AS left_repeats,
   (SELECT count(*) - count(DISTINCT movie_id) FROM keywords_clean) AS right_repeats,
   count(*) AS joined_rows, count(*) - count(DISTINCT movie_id) AS joined_repeats,
-  count(*) - count(main_keyword) AS joined_missing
+  count(*) - count(main_keyword) AS joined_missing, 'bigint' AS left_key_types, 'bigint' AS right_key_types
 FROM clean JOIN keywords_clean USING (movie_id)"""))
 def join_report_movies(spark, d):
     keywords = movies.keywords_clean(feed(spark, d, "raw_keywords"), LINE_ORDER)
@@ -204,7 +204,7 @@ SELECT (SELECT count(*) FROM orders) AS left_rows, (SELECT count(*) FROM lineite
   (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders) AS left_repeats,
   (SELECT count(*) - count(DISTINCT l_orderkey) FROM lineitem) AS right_repeats,
   count(*) AS joined_rows, count(*) - count(DISTINCT o_orderkey) AS joined_repeats,
-  count(*) FILTER (WHERE l_discount = 0) AS joined_missing
+  count(*) FILTER (WHERE l_discount = 0) AS joined_missing, 'bigint' AS left_key_types, 'bigint' AS right_key_types
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def join_report_repeated(spark, d):
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"))
@@ -271,7 +271,7 @@ def keyword_value_counts(spark, d):
 @query("decade_keyword_pivot", with_sql(*KEYWORD_CTES, TOP_EIGHT, select="""
 SELECT release_decade, """ + ", ".join(
     f"count(title) FILTER (WHERE main_keyword = '{k}') AS {k}"
-    for k in ("jealousy", "toy", "boy", "rivalry", "friendship", "magic", "revenge", "musical")
+    for k in KEYWORDS[:8]
 ) + " FROM with_keyword WHERE main_keyword IN (SELECT main_keyword FROM top_eight) AND release_decade IS NOT NULL GROUP BY release_decade"))
 def decade_keyword_pivot(spark, d):
     return movies.decade_keyword_pivot(with_keyword(spark, d))

@@ -15,6 +15,7 @@ from gristmill.functions.measures import ratio_or_zero
 from gristmill.functions.ordering import largest_first, smallest_first
 from gristmill.operators.ordered import area_under_curve
 
+# Thresholds and columns of the scored tables.
 THRESHOLDS = (0.30, 0.40, 0.50, 0.60, 0.70)
 DASHBOARD_THRESHOLD = 0.50
 META_COLUMNS = ("title_clean", "show_title", "type_clean", "primary_genre", "first_week_date")

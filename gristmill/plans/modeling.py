@@ -13,19 +13,19 @@ from itertools import product
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions.ordering import largest_first
-from gristmill.operators.ordered import smallest_share
+from gristmill.operators.ordered import positions, smallest_share
 from gristmill.operators.quality import union_all
 from gristmill.plans.evaluation import metric_row
 from gristmill.scratch import materialize
-from gristmill.sources.files import spread
 
 TARGET = "long_run_flag"
 KEY = "title_clean"
@@ -42,6 +42,7 @@ SEARCH_SPACE: Mapping[str, tuple] = {
 }
 SEARCH_DRAWS = 10
 DEEPEST = 30  # the deepest tree the library grows
+MOST_BINS = 128  # candidate cuts of a numeric column, of which there are at most as many as train rows
 MODEL_VERSION = "random_forest_randomized_v1"
 
 
@@ -58,19 +59,23 @@ def columns_by_kind(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], l
     return text, numbers
 
 
+def key_hash(seed: int) -> Column:
+    """Seeded hash of the key as text, the same in every engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(KEY)).cast("binary"))
+
+
 def split(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, exact: bool = True) -> DataFrame:
     """Add ``split`` (train or test), the same share of each class, fixed by key and seed.
 
     Exact takes the ``round(share * rows)`` rows of a class with the smallest
-    key hashes.  Otherwise a hash threshold decides row by row: no shuffle, and
-    the share is met up to chance.
+    key hashes, equal hashes by key.  Otherwise a hash threshold decides row by
+    row: no shuffle, and the share is met up to chance.
     """
-    hashed = df.withColumn("__hash", F.xxhash64(F.col(KEY), F.lit(seed)))
     if exact:
-        flagged = smallest_share(hashed, TARGET, "__hash", share, "__test")
+        flagged = smallest_share(df.withColumn("__hash", key_hash(seed)), TARGET, ["__hash", KEY], share, "__test").drop("__hash")
     else:
-        flagged = hashed.withColumn("__test", F.pmod("__hash", F.lit(10_000)) < round(share * 10_000))
-    return flagged.withColumn("split", F.when(F.col("__test"), "test").otherwise("train")).drop("__hash", "__test")
+        flagged = df.withColumn("__test", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed)), F.lit(10_000)) < round(share * 10_000))
+    return flagged.withColumn("split", F.when(F.col("__test"), "test").otherwise("train")).drop("__test")
 
 
 def split_audit(split_df: DataFrame) -> DataFrame:
@@ -88,22 +93,29 @@ def split_audit(split_df: DataFrame) -> DataFrame:
 
 def class_weights(train: DataFrame, label: str = TARGET) -> DataFrame:
     """Balanced weights: rows / (classes * rows of the class)."""
-    counts = train.groupBy(label).agg(F.count("*").alias("class_rows"))
-    total, classes = train.agg(F.count("*")).scalar(), train.agg(F.count_distinct(label)).scalar()
+    counts = materialize(train.groupBy(label).agg(F.count("*").alias("class_rows")), "class-rows")
+    total, classes = counts.agg(F.sum("class_rows")).scalar(), counts.agg(F.count(label)).scalar()
     return counts.withColumn("class_weight", total / (classes * F.col("class_rows")))
 
 
 def with_class_weights(train: DataFrame) -> DataFrame:
-    """Weight column on train rows.  The two weights become literals."""
-    weights = {row[TARGET]: row["class_weight"] for row in class_weights(train).collect()}
+    """Weight column on train rows.  The two weights become literals; a third class is an error."""
+    rows = class_weights(train).limit(3).collect()
+    if len(rows) > 2:
+        raise ValueError(f"{TARGET} has more than two classes")
+    weights = {row[TARGET]: row["class_weight"] for row in rows}
     weight: Column = F.lit(None).cast("double")
     for label, value in weights.items():
         weight = F.when(F.col(TARGET) == label, F.lit(value)).otherwise(weight)
     return train.withColumn("class_weight", weight)
 
 
-def preprocess_stages(text: Sequence[str], numbers: Sequence[str]) -> list[Estimator]:
-    """One-hot text columns (unseen values become all zeros), standardised numbers, one vector."""
+def preprocess_stages(text: Sequence[str], numbers: Sequence[str], rows: int) -> list[Estimator]:
+    """One-hot text columns (unseen values become all zeros), standardised numbers, one vector.
+
+    The scaler divides by the sample deviation of the ``rows`` train rows; a fixed
+    factor turns that into the population deviation.
+    """
     stages: list = []
     parts: list[str] = []
     if text:
@@ -118,15 +130,29 @@ def preprocess_stages(text: Sequence[str], numbers: Sequence[str]) -> list[Estim
     if numbers:
         stages += [
             VectorAssembler(inputCols=list(numbers), outputCol="numbers_raw"),
-            StandardScaler(inputCol="numbers_raw", outputCol="numbers", withMean=True, withStd=True),
+            StandardScaler(inputCol="numbers_raw", outputCol="numbers_scaled", withMean=True, withStd=True),
+            ElementwiseProduct(
+                inputCol="numbers_scaled", outputCol="numbers",
+                scalingVec=Vectors.dense([(rows / max(1, rows - 1)) ** 0.5] * len(numbers)),
+            ),
         ]
         parts.append("numbers")
     return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
 
 
-def estimator(df: DataFrame, model: Estimator) -> Pipeline:
-    """Preprocessing for the feature columns of ``df``, then the model."""
-    return Pipeline(stages=[*preprocess_stages(*columns_by_kind(df, feature_columns(df))), model])
+def estimator(df: DataFrame, rows: int, *model: Estimator) -> Pipeline:
+    """Preprocessing for the feature columns of ``df`` with ``rows`` train rows, then the model, if any."""
+    return Pipeline(stages=[*preprocess_stages(*columns_by_kind(df, feature_columns(df)), rows), *model])
+
+
+def feature_cells(split_df: DataFrame, decimals: int = 6) -> DataFrame:
+    """(title_clean, split, feature, value) in long form: what the models see, fitted on train rows; zeros are left out."""
+    train = split_df.where(F.col("split") == "train").drop("split")
+    fitted = estimator(train, train.count()).fit(train)
+    cells = fitted.transform(split_df).select(KEY, "split", F.posexplode(vector_to_array("features")).alias("at", "value"))
+    names = split_df.sparkSession.createDataFrame(list(enumerate(feature_names(fitted))), "at int, feature string")
+    cells = cells.withColumn("value", F.round("value", decimals)).where("value <> 0")
+    return cells.join(names, "at").select(KEY, "split", "feature", "value")
 
 
 def logistic(train_rows: int) -> LogisticRegression:
@@ -146,7 +172,7 @@ def forest(
     smaller one when the train rows run into the billions.
     """
     return RandomForestClassifier(
-        labelCol=TARGET, weightCol="class_weight", numTrees=trees, maxDepth=depth or DEEPEST,
+        labelCol=TARGET, weightCol="class_weight", numTrees=trees, maxDepth=depth or DEEPEST, maxBins=MOST_BINS,
         minInstancesPerNode=leaf, featureSubsetStrategy=features or "all", seed=seed,
         cacheNodeIds=True,  # rows keep their place in each tree instead of walking down from the root
     )
@@ -187,20 +213,21 @@ def score(model: PipelineModel, test: DataFrame) -> DataFrame:
     return materialize(scored, "scored")
 
 
-def fit(name: str, model: Estimator, train: DataFrame, test: DataFrame) -> Fitted:
-    """Fit preprocessing and model on weighted train rows, score the test rows."""
-    fitted = estimator(without_weight(train), model).fit(spread(train))
+def fit(name: str, model: Estimator, train: DataFrame, test: DataFrame, rows: int) -> Fitted:
+    """Fit preprocessing and model on the ``rows`` weighted train rows, score the test rows."""
+    fitted = estimator(without_weight(train), rows, model).fit(train)
     return Fitted(name, fitted, score(fitted, test))
 
 
 def fit_logistic(split_df: DataFrame, name: str = "LogisticRegression_safe") -> Fitted:
     train, test = parts_of(split_df)
-    return fit(name, logistic(train.count()), train, test)
+    rows = train.count()
+    return fit(name, logistic(rows), train, test, rows)
 
 
 def fit_forest(split_df: DataFrame, name: str = "RandomForest_safe", trees: int = 300, depth: int | None = None) -> Fitted:
     train, test = parts_of(split_df)
-    return fit(name, forest(trees, depth), train, test)
+    return fit(name, forest(trees, depth), train, test, train.count())
 
 
 def leakage_comparison(safe_split: DataFrame, leakage_split: DataFrame) -> DataFrame:
@@ -240,13 +267,17 @@ def draw_settings(
     return random.Random(seed).sample(every, min(draws, len(every)))
 
 
+def with_folds(train: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
+    """Add ``fold``: the rows of each class are dealt out in the order of their key hashes, so every fold has its share."""
+    hashed = train.withColumn("__hash", key_hash(seed + 1))
+    dealt = positions(hashed, [TARGET], [F.col("__hash"), F.col(KEY)], "__number")
+    return dealt.withColumn("fold", ((F.col("__number") - 1) % folds).cast("int")).drop("__hash", "__number")
+
+
 def search(
     train: DataFrame, settings: Sequence[Mapping], folds: int = FOLDS, seed: int = SEED, parallelism: int = 4
 ) -> tuple[CrossValidatorModel, list[Mapping]]:
-    """Cross-validated search for the best F1; the best setting is refitted on all train rows.
-
-    Folds are fixed by a hash of the key, so class shares agree up to chance.
-    """
+    """Cross-validated search for the best F1; the best setting is refitted on all train rows."""
     model = forest()
     grid = [
         {
@@ -257,9 +288,9 @@ def search(
         }
         for s in settings
     ]
-    folded = spread(train).withColumn("fold", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed + 1)), F.lit(folds)).cast("int"))
+    folded = materialize(with_folds(train, folds, seed), "folds")
     validator = CrossValidator(
-        estimator=estimator(without_weight(train), model),
+        estimator=estimator(without_weight(train), folded.count(), model),
         estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(labelCol=TARGET, metricName="fMeasureByLabel", metricLabel=1.0),
         numFolds=folds,
@@ -273,8 +304,23 @@ def search(
 def search_table(found: CrossValidatorModel, settings: Sequence[Mapping], spark: SparkSession) -> DataFrame:
     """Every drawn setting with its mean F1, best first."""
     rows = [
-        (s["n_estimators"], s["max_depth"], s["min_samples_leaf"], s["max_features"], float(f1))
+        (s["n_estimators"], s["max_depth"], s["max_depth"] or DEEPEST, s["min_samples_leaf"], s["max_features"], float(f1))
         for s, f1 in zip(settings, found.avgMetrics)
     ]
-    schema = "n_estimators int, max_depth int, min_samples_leaf int, max_features string, cv_f1 double"
+    schema = "n_estimators int, max_depth int, grown_depth int, min_samples_leaf int, max_features string, cv_f1 double"
     return spark.createDataFrame(rows, schema).orderBy(largest_first("cv_f1"))
+
+
+def fit_tuned(split_df: DataFrame, name: str = "RandomForest_tuned", settings: Sequence[Mapping] | None = None) -> tuple[Fitted, float]:
+    """The winner of the search, scored on the test rows, and its mean F1 over the folds."""
+    train, test = parts_of(split_df)
+    found, _ = search(train, draw_settings() if settings is None else settings)
+    return Fitted(name, found.bestModel, score(found.bestModel, test)), max(found.avgMetrics)
+
+
+def model_comparison(split_df: DataFrame, trees: int = 300, settings: Sequence[Mapping] | None = None) -> DataFrame:
+    """One row of test measures for each of the three models; ``best_cv_f1`` for the tuned one."""
+    tuned, f1 = fit_tuned(split_df, settings=settings)
+    rows = [fit_logistic(split_df), fit_forest(split_df, trees=trees), tuned]
+    measures = union_all([fitted.metrics().withColumn("best_cv_f1", F.lit(f1 if fitted is tuned else None).cast("double")) for fitted in rows])
+    return measures

@@ -17,6 +17,7 @@ from gristmill.operators.cleaning import drop_missing, fill_missing, keep_first,
 from gristmill.operators.joins import inner_join, pair_counts
 from gristmill.operators.reshape import count_pivot, explode_literal, to_long
 
+# Columns, measures and labels of the tables.
 RAW_COLUMNS = (
     "id", "title", "release_date", "original_language", "runtime", "budget", "revenue", "popularity",
     "vote_average", "vote_count",

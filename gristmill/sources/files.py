@@ -22,21 +22,10 @@ MISSING_TEXTS = (
 )
 # Legacy charset names and what the JVM calls them.
 CHARSETS = {"utf-8": "UTF-8", "mac-roman": "x-MacRoman", "cp1252": "windows-1252"}
-BUILT_IN_CHARSETS = ("UTF-8",)
 # Columns that give the original row order of a file; a keep-first step sorts by them.
 FILE_ORDER = ("file_path", "file_block", "file_row")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over the cluster when the scan has fewer splits than there are cores.
-
-    One unsplittable file would otherwise keep a single core busy with parsing.
-    A scan with enough splits is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -46,23 +35,22 @@ def read_csv(
     multi_line: bool = True,
     missing_texts: Sequence[str] = MISSING_TEXTS,
     file_order: bool = False,
+    header: Sequence[str] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Header CSV as text columns, with missing markers as NULL and the listed columns as dates.
 
-    ``columns`` selects by header name.  ``file_order`` adds the columns of
-    ``FILE_ORDER``.
+    ``columns`` selects by header name.  ``header`` gives the names of the header
+    line, so that no file is opened before the query runs.  ``file_order`` adds the
+    columns of ``FILE_ORDER``.  Quoted line breaks need ``multi_line``, and then
+    one task reads a whole file; ``parts`` deals its rows out before they are
+    parsed further.  Charsets beyond the built-in ones need the session setting
+    of ``session.SETTINGS``.
     """
-    encoding = CHARSETS.get(charset.lower(), charset)
-    if encoding not in BUILT_IN_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    raw = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("encoding", encoding)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    if header:
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in header]))
+    raw = reader.option("encoding", CHARSETS.get(charset.lower(), charset)).csv(path)
     names = list(columns or raw.columns)
     markers = [m for m in missing_texts if m]
     order: list[Column] = []
@@ -73,33 +61,19 @@ def read_csv(
             F.monotonically_increasing_id().alias("file_row"),
         ]
     text = [F.when(~F.col(f"`{c}`").isin(markers), F.col(f"`{c}`")).alias(c) if markers else F.col(c) for c in names]
-    df = spread(raw.select(*text, *order))
+    df = raw.select(*text, *order)
+    df = df.repartition(parts) if parts else df
     return df.withColumns({c: to_day(F.col(c)) for c in date_columns}) if date_columns else df
 
 
-def read_csv_with_schema(spark: SparkSession, path: str, names: Sequence[str], charset: str = "utf-8") -> DataFrame:
-    """Variant that does not open the file before the query runs: the header order is given."""
-    encoding = CHARSETS.get(charset.lower(), charset)
-    if encoding not in BUILT_IN_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("encoding", encoding)
-        .csv(path)
-    )
-
-
 def write_parquet(df: DataFrame, path: str) -> str:
     """Drop-and-replace a Parquet result; keys and pivot indexes are ordinary columns."""
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def export_csv(df: DataFrame, path: str) -> str:
+def export_csv(df: DataFrame, path: str, charset: str = "utf-8") -> str:
     """Drop-and-replace a CSV export with header, one file per partition."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    encoding = CHARSETS.get(charset.lower(), charset)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
     return path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -104,12 +104,30 @@ MART = TableSpec("genre_mart", (
     Field("type_clean", limit=50),
     Field("genre"),
 ))
-MODEL_TABLES = ("model_input_safe", "model_input_leakage")
+_SAFE_FIELDS = (
+    Field("title_clean"), Field("show_title"), Field("type_clean"), Field("primary_genre"), Field("first_week_date", "date"),
+    Field("first_season"), Field("first_month_num", "int"), Field("first_week_rank", "int"), Field("first_week_hours_viewed", "bigint"),
+    Field("initial_rank_bucket"), Field("initial_hours_bucket"), Field("long_run_flag", "int"),
+)
+_RUN_FIELDS = (Field("weeks_in_top10", "bigint"), Field("best_rank", "int"), Field("max_cumulative_weeks", "int"))
+#: Tables that may be read by name, with the types their CSV copies are read in.
+MODEL_TABLES = {
+    "model_input_safe": TableSpec("model_input_safe", _SAFE_FIELDS),
+    "model_input_leakage": TableSpec("model_input_leakage", _SAFE_FIELDS + _RUN_FIELDS),
+}
+
 
+def coerce(raw: DataFrame, spec: TableSpec, enforce: bool = True) -> DataFrame:
+    """Text columns to the declared types, one projection for all rows; a text longer than declared raises if ``enforce``."""
 
-def coerce(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Text columns to the declared types, one projection for all rows."""
-    return raw.select(*[COERCIONS[f.kind](F.col(f"`{f.source or f.name}`")).alias(f.name) for f in spec.fields])
+    def typed(field: Field) -> Column:
+        value = COERCIONS[field.kind](F.col(f"`{field.source or field.name}`"))
+        if field.limit and enforce:
+            problem = F.concat(F.lit(f"{spec.name}.{field.name} is longer than {field.limit}: "), F.left(value, F.lit(80)))
+            value = F.when(F.length(value) > field.limit, F.raise_error(problem)).otherwise(value)
+        return value.alias(field.name)
+
+    return raw.select(*[typed(f) for f in spec.fields])
 
 
 def overlong_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -119,17 +137,23 @@ def overlong_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def stamp(df: DataFrame, keys: Sequence[str], id_column: str = "id") -> DataFrame:
-    """Add a surrogate id (hash of the business key: stable across reloads) and the load time."""
+    """Add a surrogate id (hash of the business key: stable across reloads) and the load time.
+
+    A 64-bit hash: rows that share the key share the id, and among five billion keys some two are likely to.  Where the
+    id has to be unique, number the rows with ``operators.ordered.positions``.
+    """
     return df.select(F.xxhash64(*keys).alias(id_column), "*", F.current_timestamp().alias("created_at"))
 
 
-def load_csv_table(spark: SparkSession, path: str, spec: TableSpec, order: Sequence[str] | None = None) -> DataFrame:
+def load_csv_table(
+    spark: SparkSession, path: str, spec: TableSpec, order: Sequence[str] | None = None, enforce: bool = True
+) -> DataFrame:
     """Read a file in its charset and coerce it to a declared table; a unique key keeps its first row."""
     raw = read_csv(spark, path, charset=spec.charset, file_order=spec.unique is not None)
     if spec.unique:
         columns = list(order or ("file_path", "file_block", "file_row"))
         raw = keep_first(raw, [spec.unique], [F.col(c).asc() for c in columns])
-    return coerce(raw, spec)
+    return coerce(raw, spec, enforce)
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -158,7 +182,7 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
-def read_table(spark: SparkSession, name: str, allowed: Sequence[str] = MODEL_TABLES) -> DataFrame:
+def read_table(spark: SparkSession, name: str, allowed: Collection[str] = MODEL_TABLES) -> DataFrame:
     """Read a stored table whose name is on the allow-list."""
     if name not in allowed:
         raise ValueError(f"unexpected table name: {name}")
@@ -166,15 +190,15 @@ def read_table(spark: SparkSession, name: str, allowed: Sequence[str] = MODEL_TA
 
 
 def read_table_or_file(
-    spark: SparkSession, name: str, path: str, date_column: str, allowed: Sequence[str] = MODEL_TABLES
+    spark: SparkSession, name: str, path: str, date_column: str, allowed: Mapping[str, TableSpec] = MODEL_TABLES
 ) -> tuple[DataFrame, str]:
-    """The stored table if it exists, else the CSV copy; second value tells which one it was."""
-    if name in allowed and spark.catalog.tableExists(name):
-        df, source = read_table(spark, name, allowed), f"db:{name}"
-    elif name not in allowed:
+    """The stored table if it exists, else the CSV copy in the declared types; second value tells which one it was."""
+    if name not in allowed:
         raise ValueError(f"unexpected table name: {name}")
+    if spark.catalog.tableExists(name):
+        df, source = read_table(spark, name, allowed), f"db:{name}"
     else:
-        df, source = read_csv(spark, path), f"csv:{path.rstrip('/').rsplit('/', 1)[-1]}"
+        df, source = coerce(read_csv(spark, path), allowed[name]), f"csv:{path.rstrip('/').rsplit('/', 1)[-1]}"
     return df.withColumn(date_column, F.to_date(F.col(date_column).cast("string"))), source
 
 

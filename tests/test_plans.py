@@ -8,8 +8,8 @@ from gristmill.plans import charts, evaluation, exploration, modeling, movies, p
 from tests.conftest import rows
 
 RAW = [
-    ("862", "A", "1995-10-30", "en", "81", "30000000", "373554033", "1", "7.7", "5415"),
-    ("862", "A again", "1995-10-30", "en", "82", "1", "1", "1", "5", "1"),
+    ("512", "A", "1995-10-30", "en", "81", "30000000", "271828182", "1", "7.3", "5217"),
+    ("512", "A again", "1995-10-30", "en", "82", "1", "1", "1", "5", "1"),
     ("1997-08-20", "B", "1", None, None, "/x.jpg", None, None, None, None),
     ("10", "C", "2001-02-03", None, "90", None, "0", "1", "6", "10"),
     ("11", "D", "2001-02-03", "fr", "0", "5", "5", "1", "6", "1"),
@@ -30,27 +30,27 @@ def test_movies_clean(raw):
     clean = movies.movies_clean(raw, ORDER)
     assert clean.columns == list(movies.CLEAN_COLUMNS)
     assert rows(clean, "movie_id", "title", "release_year", "original_language", "budget", "revenue") == [
-        (10, "C", 2001, "unknown", None, 0.0), (862, "A", 1995, "en", 30000000.0, 373554033.0),
+        (10, "C", 2001, "unknown", None, 0.0), (512, "A", 1995, "en", 30000000.0, 271828182.0),
     ]
     gate = dict(rows(movies.load_gate(clean)))
     assert gate.pop("row_count") == 2 and set(gate.values()) == {0}
-    assert rows(movies.movies_reduced(raw, ORDER), "movie_id", "title")[-1] == (862, "A")
+    assert rows(movies.movies_reduced(raw, ORDER), "movie_id", "title")[-1] == (512, "A")
 
 
 def test_keyword_business(spark, raw):
     keywords = spark.createDataFrame(
-        [("862", "[{'id': 931, 'name': 'toy'}, {'id': 2, 'name': 'boy'}]", 0), ("862", "[]", 1), ("10", "broken", 2), ("x", "[]", 3)],
+        [("512", "[{'id': 17, 'name': 'violin'}, {'id': 2, 'name': 'harbour'}]", 0), ("512", "[]", 1), ("10", "broken", 2), ("x", "[]", 3)],
         "id string, keywords string, row int",
     )
     table = movies.movies_with_keyword(movies.movies_clean(raw, ORDER), movies.keywords_clean(keywords, ORDER))
     assert rows(table, "movie_id", "main_keyword", "profit", "release_decade") == [
-        (10, None, None, 2000), (862, "toy", 343554033.0, 1990),
+        (10, None, None, 2000), (512, "violin", 241828182.0, 1990),
     ]
     assert table.where("movie_id = 10").first()["roi"] is None
-    assert rows(movies.keyword_business(table), "main_keyword", "movie_count", "avg_rating") == [("toy", 1, 7.7)]
+    assert rows(movies.keyword_business(table), "main_keyword", "movie_count", "avg_rating") == [("violin", 1, 7.3)]
     assert movies.keyword_business_long(table).count() == 6
     assert rows(movies.decade_keyword_pivot(table)) == [(1990, 1)]
-    assert rows(movies.high_rating_by_year(table)) == [(1995, 1, 7.7, 5415.0)]
+    assert rows(movies.high_rating_by_year(table)) == [(1995, 1, 7.3, 5217.0)]
 
 
 def test_relation_tables(spark):

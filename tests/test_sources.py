@@ -1,10 +1,12 @@
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from gristmill import scratch
 from gristmill.operators import quality
+from gristmill.plans import modeling
 from gristmill.sources import files, tables
 from tests.conftest import rows
 
@@ -32,7 +34,7 @@ def test_file_order_gives_first_rows(spark, tmp_path):
 def test_charsets(spark, tmp_path, charset, codec):
     path = write(tmp_path / "c.csv", "a\ncafé ÿ ü\n", codec)
     assert rows(files.read_csv(spark, path, charset=charset)) == [("café ÿ ü",)]
-    assert rows(files.read_csv_with_schema(spark, path, ["a"], charset)) == [("café ÿ ü",)]
+    assert rows(files.read_csv(spark, path, header=["a"], charset=charset)) == [("café ÿ ü",)]
 
 
 def test_typed_load_keeps_first_show(spark, tmp_path):
@@ -62,14 +64,22 @@ def test_insert_if_absent_and_counts(spark):
 
 def test_named_tables(spark, tmp_path):
     name = "model_input_safe"
-    source = spark.createDataFrame([("a", datetime.date(2024, 1, 7))], "title_clean string, first_week_date date")
-    path = write(tmp_path / "safe.csv", "title_clean,first_week_date\nb,2024-01-14\n")
-    df, origin = tables.read_table_or_file(spark, name, path, "first_week_date")
-    assert origin == "csv:safe.csv" and rows(df) == [("b", datetime.date(2024, 1, 14))]
+    row = {"title_clean": "a", "show_title": "A", "type_clean": "Movie", "primary_genre": "Drama", "first_week_date": datetime.date(2024, 1, 7),
+           "first_season": "winter", "first_month_num": 1, "first_week_rank": 3, "first_week_hours_viewed": 5_000_000_000,
+           "initial_rank_bucket": "top_3", "initial_hours_bucket": "high", "long_run_flag": 1}
+    kinds = {"date": "date", "int": "int", "bigint": "bigint"}
+    schema = ", ".join(f"{f.name} {kinds.get(f.kind, 'string')}" for f in tables.MODEL_TABLES[name].fields)
+    source = spark.createDataFrame([tuple(row.values())], schema)
+    path = files.export_csv(source, str(tmp_path / "safe.csv"))
+    from_file, origin = tables.read_table_or_file(spark, name, path, "first_week_date")
+    assert origin == "csv:safe.csv" and rows(from_file) == rows(source) and from_file.dtypes == source.dtypes
     assert rows(tables.replace_table(source, name)) == rows(source)
+    from_table, origin = tables.read_table_or_file(spark, name, path, "first_week_date")
+    assert origin == "db:model_input_safe" and from_table.dtypes == from_file.dtypes
+    features = [modeling.columns_by_kind(df, modeling.feature_columns(df)) for df in (from_file, from_table)]
+    assert features[0] == features[1] and "first_week_rank" in features[0][1]
     tables.append_table(source, name)
-    df, origin = tables.read_table_or_file(spark, name, path, "first_week_date")
-    assert origin == "db:model_input_safe" and df.count() == 2
+    assert spark.table(name).count() == 2
     assert tables.replace_table(source, name).count() == 1
     with pytest.raises(ValueError):
         tables.read_table(spark, "other")
@@ -90,12 +100,34 @@ def test_reuse_or_build(spark, tmp_path):
 
 def test_materialized_steps_go_to_the_shared_folder(spark):
     folder = scratch.shared_folder(spark)
-    assert folder == spark.conf.get("spark.checkpoint.dir", folder)
+    assert folder == spark.conf.get("spark.checkpoint.dir")
     step = scratch.materialize(spark.range(10), "x")
-    assert f"{folder}/x-" in step.inputFiles()[0] and step.count() == 10
+    place = step.inputFiles()[0]
+    assert "/steps/x-" in place and step.count() == 10
+    assert scratch.release(spark) >= 1 and scratch.release(spark) == 0
+    assert not os.path.exists(place.removeprefix("file://"))
+
+
+def test_without_checkpoint_folder_steps_go_to_the_warehouse(spark):
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return "file:/store/warehouse" if key == "spark.sql.warehouse.dir" else default
+
+    assert scratch.shared_folder(Session) == "file:/store/warehouse/_steps"
 
 
 def test_overlong_counts(spark):
     df = spark.createDataFrame([("s" * 11,), ("s",)], "show_id string")
     spec = tables.TableSpec("t", (tables.Field("show_id", limit=10),))
     assert rows(tables.overlong_counts(df, spec)) == [(1,)]
+
+
+def test_overlong_text_raises(spark):
+    spec = tables.TableSpec("t", (tables.Field("show_id", limit=10),))
+    df = spark.createDataFrame([("s" * 11,)], "show_id string")
+    assert tables.coerce(df, spec, enforce=False).count() == 1
+    with pytest.raises(Exception, match="longer than 10"):
+        tables.coerce(df, spec).collect()
+    assert rows(tables.coerce(spark.createDataFrame([("s" * 10,), (None,)], "show_id string"), spec)) == [("s" * 10,), (None,)]
