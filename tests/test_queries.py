@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from checks.oracle import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
@@ -14,7 +15,7 @@ def duck():
 
 def test_expected_sql_belongs_to_queries():
     assert set(EXPECTED) <= set(QUERIES)
-    assert all(name.startswith("ml_") for name in set(QUERIES) - set(EXPECTED))
+    assert all(name.startswith("ml_") for name in set(registry.QUERIES) - set(registry.EXPECTED))
 
 
 @pytest.mark.parametrize("name", sorted(EXPECTED))
