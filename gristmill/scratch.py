@@ -1,4 +1,4 @@
-"""Intermediate tables in the folder that all executors share.
+"""Intermediate tables in a folder that all executors share.
 
 A step that has to be computed once and read several times is written here as
 Parquet.  The written copy survives the loss of executors, gives every reader
@@ -8,25 +8,17 @@ broadcast only when it really is small.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only for local masters."""
+    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which executors share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="gristmill-")
-    return _local_folders[context.applicationId]
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps"
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
@@ -34,4 +26,15 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every step this session has written; call it when the results that read them are stored.  Returns how many."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(hadoop).delete(where, True)
+    return len(paths)

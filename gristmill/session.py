@@ -14,6 +14,8 @@ SETTINGS = {
     # strict casts raise, lenient steps use the try_ functions
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # files in charsets that only the JVM knows
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 

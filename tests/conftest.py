@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="6g", spark__sql__warehouse__dir=str(folder / "warehouse"),
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=f"file://{folder}/steps",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
