@@ -89,7 +89,8 @@ FEEDS: dict[str, tuple[str, list[str]]] = {
     "titles": ("orders", [
         "'s' || CAST(o_orderkey AS STRING) AS show_id",
         "CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'Order ã #' || CAST(o_orderkey AS STRING) "
-        "ELSE '  order #' || CAST(o_orderkey AS STRING) END AS title",
+        # some titles normalise alike
+        "ELSE '  order #' || CAST(o_orderkey - CASE WHEN o_orderkey % 9 = 4 THEN 1 ELSE 0 END AS STRING) END AS title",
         "CASE o_orderstatus WHEN 'P' THEN 'nan' WHEN 'O' THEN 'TV Show' ELSE 'Movie' END AS type",
         "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' WHEN o_orderpriority = '3-MEDIUM' AND month(o_orderdate) = 12 "
         "THEN 'nan, Quarter 4' ELSE substring(o_orderpriority, 3) || ', Quarter ' || CAST(quarter(o_orderdate) AS STRING) "

@@ -29,9 +29,13 @@ def _plain(value):
     return value
 
 
+def plain_row(values) -> tuple:
+    return tuple(_plain(value) for value in values)
+
+
 def rows_of(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    plain = [plain_row(row[i] for i in order) for row in rows]
     return sorted(names), sorted(plain, key=lambda r: tuple((v is None, str(type(v)), str(v)) for v in r))
 
 
