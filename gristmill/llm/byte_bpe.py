@@ -28,9 +28,9 @@ from gristmill.llm.common import chunks, pick, texts
 
 NO_RANK = 1 << 62
 #: Matches up to this many characters are remembered, and about so many of them per Python worker.
-REMEMBERED_LENGTH, REMEMBERED = 48, 1 << 19
+REMEMBERED_LENGTH, REMEMBERED = 48, 1 << 18
 #: Matches of up to so many bytes are merged together, so many at once; texts are taken in chunks of so many characters.
-LONGEST_ROW, AT_ONCE, CHUNK = 64, 1 << 14, 1 << 21
+LONGEST_ROW, AT_ONCE, CHUNK = 64, 1 << 14, 1 << 20
 
 RESULT = "n_tokens long, ids binary, decoded binary"
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"

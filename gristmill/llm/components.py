@@ -4,95 +4,120 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.scratch import materialize
 
+#: Verifying a candidate costs as much as meeting so many rows of lists.
+VERIFY_COST = 200
+
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(row)
 
 
+def _to_smallest(edges: DataFrame) -> DataFrame:
+    """Edges (u > v) after every larger neighbour of a node, then every node and its smaller ones, moved to the smallest."""
+    either = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = either.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    larger = either.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = larger.groupBy("u").agg(F.min("v").alias("m"))
+    moved = larger.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(id, root) of every node of ``edges`` (a, b: long); root is the smallest id that links lead to.
 
-    Alternates two steps until nothing changes: every larger neighbour of a node moves to the node's smallest
-    neighbour, then every node and its smaller neighbours do.  Minima combine before the shuffle and stars are the end,
-    so a node with many neighbours is never gathered.
+    Repeats ``_to_smallest`` until nothing changes.  Minima combine before the shuffle and stars are the end, so a node
+    with many neighbours is never gathered.
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    current, before = materialize(both, "edges"), None
-    state = _state(current)
-    while state != before and state[0]:
-        either = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = either.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        larger = either.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = larger.groupBy("u").agg(F.min("v").alias("m"))
-        moved = larger.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = materialize(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    current, before, state = materialize(_to_smallest(both), "edges"), None, ()
+    while state != before:
+        current = materialize(_to_smallest(current), "edges")
         before, state = state, _state(current)
     stars = current.select(F.col("u").alias("id"), F.col("v").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("id"), "root").distinct())
 
 
-def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: tuple[int, int], rounds: int = 4) -> DataFrame:
-    """(id, root) of all ids with a link, from ``postings`` (token, id, need, size: token and id long).
-
-    Ids may be linked only if they share at least the smaller ``need`` of their tokens and the smaller size is at least
-    ratio[0] / ratio[1] of the larger; ``verify`` takes pairs (a < b) and returns those that are linked.
+def _open(own: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Postings with ``root`` and ``df`` that may still lead to another group.
 
-    Rounds: in every token's list the ids meet the smallest id of the list, each id the one it meets most often; what
-    is verified joins groups.  That takes one pair an id and settles most of a group of copies.  At last every pair
-    of ids that could be linked but stand in different groups is verified, so no link between groups is missed.
+    Ids of different groups share at least their ``need`` of tokens, and every list that holds both is a list of several
+    groups.  So other lists go, and then ids that stand in fewer than ``need`` of the rest.
     """
-    postings = materialize(postings, "postings")
-    pair = postings.sparkSession.createDataFrame([], "a long, b long")
-    tested, links, groups, number = pair, pair, None, 0
+    own = own.drop("root", "df")
+    own = own.withColumn("root", F.col("id")) if groups is None else own.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    lists = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("df")).where("low < high")
+    own = own.join(lists.select("token", "df"), "token")
+    enough = own.groupBy("id").agg(F.count(F.lit(1)).alias("lists"), F.first("need").alias("least")).where("lists >= least")
+    return materialize(own.join(enough.select("id"), "id", "left_semi"), "open")
 
-    def rooted() -> DataFrame:
-        if groups is None:
-            return postings.withColumn("root", F.col("id"))
-        return postings.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
-    def open_lists(own: DataFrame) -> DataFrame:
-        """Tokens whose lists hold several groups, with the smallest id of the list."""
-        spread = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("id", "size", "root")).alias("first"))
-        return spread.where("low < high").select("token", "first")
+def _lightened(own: DataFrame) -> DataFrame:
+    """Postings without the longest lists of each id, as many of its ``spare`` ones as make its estimated cost least; ``left_out`` counts them.
+
+    With R rows met in the lists that stay and l shared tokens still asked for, at most R / l ids are candidates; each
+    costs as much as VERIFY_COST rows.
+    """
+    heaviest = Window.partitionBy("id").orderBy(F.desc("df"), "token")  # one id's tokens
+    ranked = own.withColumn("rank", F.row_number().over(heaviest)).withColumn("met", F.sum(F.col("df") - 1).over(heaviest))
+    totals = own.groupBy("id").agg(F.sum(F.col("df") - 1).alias("total"))
+    cost = (F.col("total") - F.col("met")) * (1 + F.lit(VERIFY_COST) / (F.col("need") - F.col("rank")))
+    choices = ranked.where("rank <= spare").join(totals, "id").groupBy("id").agg(
+        F.min(F.struct(cost.alias("cost"), F.col("rank"))).alias("best"),
+        F.first(F.col("total") * (1 + F.lit(VERIFY_COST) / F.col("need"))).alias("all"),
+    )
+    chosen = choices.select("id", F.when(F.col("best.cost") < F.col("all"), F.col("best.rank")).otherwise(0).cast("long").alias("left_out"))
+    out = ranked.join(chosen, "id", "left").withColumn("left_out", F.coalesce("left_out", F.lit(0).cast("long")))
+    return materialize(out.where("rank > left_out").drop("rank", "met"), "lightened")
+
+
+def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: tuple[int, int], rounds: int = 3) -> DataFrame:
+    """(id, root) of all ids with a link, from ``postings`` (token, id, need, size, and maybe spare: all long).
+
+    Ids may be linked only if both share at least their ``need`` of tokens and the smaller size is at least
+    ratio[0] / ratio[1] of the larger; ``spare`` is less than the ``need`` of either id of any link.  ``verify`` takes
+    pairs (a < b) and returns those that are linked.
+
+    Rounds: in every token's list the ids meet one id of it, another one each round, and each id tries the one it meets
+    most often outside its group; what is verified joins groups.  That takes a pair an id and round and settles groups of copies.  At last
+    every pair of ids that could be linked but stand in different groups is verified, so no link between groups is missed:
+    each id leaves out some of its longest lists (``_lightened``); the shortest list that holds two linked ids is left out by neither,
+    as fewer than ``need`` longer ones are, and of the shared tokens at most those are missing.
+    """
+    own, groups = _open(postings, None), None
+    links = own.sparkSession.createDataFrame([], "a long, b long")
 
     def fits(one: str, other: str):
         return F.least(one, other) * ratio[1] >= F.greatest(one, other) * ratio[0]
 
-    def fresh(pairs: DataFrame) -> DataFrame:
-        return materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-
-    while number < rounds:
-        number += 1
-        own = rooted()
-        met = own.join(open_lists(own), "token").where((F.col("root") != F.col("first.root")) & fits("size", "first.size"))
+    for number in range(rounds):
+        first = own.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)), "id", "size", "root")).alias("first"))
+        met = own.join(first, "token").where((F.col("root") != F.col("first.root")) & fits("size", "first.size"))
         met = met.groupBy("id", F.col("first.id").alias("other")).agg(F.count(F.lit(1)).alias("times"))
-        met = met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "id", "times")
-        met = met.join(tested, ["a", "b"], "left_anti").groupBy("id").agg(F.max(F.struct("times", "a", "b")).alias("best"))
-        pairs = materialize(met.select("best.a", "best.b").distinct(), "pairs")
-        found = materialize(verify(pairs), "links")
+        best = met.groupBy("id").agg(F.max(F.struct("times", "other")).alias("best"))
+        pairs = best.select(F.least("id", "best.other").alias("a"), F.greatest("id", "best.other").alias("b")).distinct()
+        found = materialize(verify(materialize(pairs, "pairs")), "links")
         if found.isEmpty():
-            tested = tested.unionByName(pairs)
             break
-        tested, links = tested.unionByName(pairs), links.unionByName(found)
-        groups = materialize(connected(links), "groups")
+        links = links.unionByName(found)
+        groups = connected(links)
+        own = _open(own, groups)
 
-    own = rooted()
-    own = materialize(own.join(open_lists(own).select("token"), "token"), "open")
-    left = own.select("token", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("need").alias("na"), F.col("size").alias("sa"))
-    right = own.select("token", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("need").alias("nb"), F.col("size").alias("sb"))
+    light = _lightened(own) if "spare" in own.columns else own.withColumn("left_out", F.lit(0).cast("long"))
+    left = light.select("token", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("need").alias("na"), F.col("left_out").alias("la"), F.col("size").alias("sa"))
+    right = light.select("token", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("need").alias("nb"), F.col("left_out").alias("lb"), F.col("size").alias("sb"))
     could = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits("sa", "sb"))
-    could = could.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("na", "nb")).alias("need")).where("shared >= need")
-    pairs = fresh(could.select("a", "b"))
-    found = materialize(verify(pairs), "links")
-    if found.isEmpty():
-        return groups if groups is not None else postings.sparkSession.createDataFrame([], "id long, root long")
-    return materialize(connected(links.unionByName(found)), "groups")
+    least = F.greatest("na", "nb") - F.col("la") - F.col("lb")
+    could = could.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(least).alias("least")).where("shared >= least")
+    found = materialize(verify(materialize(could.select("a", "b"), "pairs")), "links")
+    if not found.isEmpty():
+        groups = connected(links.unionByName(found))
+    return groups if groups is not None else own.sparkSession.createDataFrame([], "id long, root long")
 
 
 def with_payload(pairs: DataFrame, payload: DataFrame, most: int = 2_000) -> DataFrame:

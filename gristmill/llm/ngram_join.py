@@ -3,16 +3,20 @@
 A document is the set of hashes of its distinct five-word shingles; two are linked when
 their Jaccard similarity reaches 75 / 100.  In the order of the hashes, two sets that
 overlap in at least t members share at least l members among their first size - t + l
-ones.  So a document offers its first size - ceil(0.75 size) + l hashes and asks for l shared ones, and l
-is chosen for each document: a longer prefix meets more lists but needs more agreement,
-and the estimated cost, rows met plus candidates left to verify, decides.  Documents
-that share too few tokens with all others together drop out before any pair is made.
+ones.  A document offers such a prefix, t = ceil(0.75 size) and l = size / 4 + 1, and
+
+* documents that share fewer than l tokens with all others together drop out before any
+  pair is made, again after every round of links;
+* a prefix prolonged by d tokens may leave out its d longest lists: how many is chosen for
+  each document by the estimated cost, rows met plus candidates to verify, and a
+  candidate needs as many shared tokens as are left of l.
 
 Equal sets are one class; links are looked for between classes and settle groups as
 ``components.linked_groups`` says, so a group of copies costs one pair a member.
 
 Words are runs without the bytes 32 and 9 to 13, A-Z lower-cased; hashes have 64 bits
-(classes are told apart by 64 bits of the whole set, prefixes by 40 bits, which can only add candidates).
+(classes are told apart by 64 bits of the whole set, members by 48 when verified, tokens of prefixes by 40:
+members of one set that agree in those count once).
 
 Defined results: null, empty and blank texts have no set and stand alone; texts of
 fewer than five words are one shingle; rows that share an id are documents of their
@@ -38,11 +42,11 @@ from gristmill.scratch import materialize
 
 #: Similarity of at least NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 75, 100
-#: Longest prolongation of a prefix, as a share of the set; a document picks one of LEVELS quarters of it.
-SLACK, LEVELS = 0.1, 4
-#: Verifying a candidate costs as much as meeting so many rows of lists.
-VERIFY_COST = 200
-CHUNK = 1 << 20
+#: Prolongation of a prefix, as a share of the set.
+SLACK = 0.25
+#: Leading bytes of each hash by which sets are verified.
+MEMBER_BYTES = 6
+CHUNK = 1 << 18
 BROADCAST_ROWS = 1_000_000
 
 
@@ -76,7 +80,7 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
     """Packed tokens of longest prefixes; a set that the task has met already is left out, so copies cost one entry a task."""
     seen: set[int] = set()
     for batch in batches:
-        for chunk in chunks(raw_bytes(batch.column("text")), 8 * CHUNK):
+        for chunk in chunks(raw_bytes(batch.column("text")), 32 * CHUNK):
             keys, sizes, tokens, own, place = [], [], [], [], []
             for part in chunks(iter(chunk), CHUNK):
                 for members in shingle_sets(part):
@@ -95,49 +99,61 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             yield from packed(np.concatenate(tokens), np.concatenate(own), np.concatenate(place), keys, sizes, buckets)
 
 
-def _alive(postings: DataFrame, need: Column) -> DataFrame:
-    """Postings of lists with several sets, of sets that stand in at least ``need`` such lists."""
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    postings = postings.drop("df").join(lists, "token")
-    enough = postings.groupBy("id").agg(F.count(F.lit(1)).alias("lists"), F.first(need).alias("least")).where("lists >= least")
-    return materialize(postings.join(enough.select("id"), "id"), "prefixes")
+def postings_of(shared: DataFrame) -> DataFrame:
+    """(token, id, need, spare, size) for ``components.linked_groups``: see ``least_shared``.
+
+    Linked sets have sizes within the similarity, so what the smallest partner shares bounds ``spare``.
+    """
+    partner = F.ceil(F.col("size") * NUMERATOR / F.lit(DENOMINATOR))
+    return shared.select(
+        "token", "id", least_shared(F.col("size")).alias("need"), (least_shared(partner) - 1).alias("spare"), "size"
+    )
 
 
-def adaptive_postings(postings: DataFrame) -> DataFrame:
-    """(token, id, need, size): each set's prefix at the length whose estimated cost is least.
+def least_shared(size: Column) -> Column:
+    """Tokens that a set of this size shares at least, prefix with prefix, with every set it is linked to.
 
-    Level i prolongs by i / LEVELS of the slack.  With R rows met in the lists and l tokens asked for, at most R / l sets
-    can be candidates.
+    Let a be the larger set, b the smaller, t(n) = ceil(0.75 n), and prefixes n - t(n) + floor(n / 4) + 1 long.  They overlap
+    in t(a) members at least, so the prefixes share floor(a / 4) + 1, or floor(b / 4) + 1 + t(a) - t(b) if that is less: it is,
+    by one, where 4 divides a and b = a - 1.
     """
-    slack = F.floor(F.lit(SLACK) * F.col("size"))
-    prefix = F.col("size") - F.ceil(F.col("size") * NUMERATOR / F.lit(DENOMINATOR)) + 1
-    postings = _alive(postings, slack + 1)
-    postings = _alive(postings, slack + 1)
-    extra = [F.floor(slack * i / LEVELS) for i in range(LEVELS + 1)]
-    rows = [F.sum(F.when(F.col("place") < prefix + e, F.col("df") - 1).otherwise(0)) for e in extra]
-    costs = postings.groupBy("id").agg(*(
-        F.struct((r * (1 + F.lit(VERIFY_COST) / (F.first(e) + 1))).alias("cost"), F.first(e).alias("extra")).alias(f"c{i}")
-        for i, (r, e) in enumerate(zip(rows, extra))
-    ))
-    chosen = costs.select("id", F.least(*(f"c{i}" for i in range(LEVELS + 1)))["extra"].alias("extra"))
-    postings = postings.join(chosen, "id").where(F.col("place") < prefix + F.col("extra")).withColumn("need", F.col("extra") + 1)
-    return _alive(postings, F.col("need")).select("token", "id", "need", "size")
-
-
-def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of set names whose sets are similar enough; ``texts`` is (id, value) with the text of each set."""
+    return F.floor((size - 1) * F.lit(SLACK)) + 1
+
+
+def members_column(text: Column) -> Column:
+    """The shingle set of each whole text: sorted, MEMBER_BYTES leading bytes of each hash."""
+
+    @F.arrow_udf("binary")
+    def packed_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for values in batches:
+            out = []
+            for chunk in chunks(raw_bytes(values), CHUNK):
+                for members in shingle_sets(chunk):
+                    out.append(members.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :MEMBER_BYTES].tobytes())
+            yield pa.array(out, pa.binary())
+
+    return packed_sets(text)
+
+
+def _members(raw: bytes) -> np.ndarray:
+    full = np.zeros((len(raw) // MEMBER_BYTES, 8), np.uint8)
+    full[:, :MEMBER_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, MEMBER_BYTES)
+    return full.view(">u8").ravel().astype(np.uint64)
+
+
+def similar_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of set names whose sets are similar enough; ``members`` is (id, value) with each packed set."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good, known = [], {}
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            left, right = raw_bytes(batch.column("pa")), raw_bytes(batch.column("pb"))
-            for i, (x, y, text_x, text_y) in enumerate(zip(a, b, left, right)):
+            for i, (x, y, packed_x, packed_y) in enumerate(zip(a, b, raw_bytes(batch.column("pa")), raw_bytes(batch.column("pb")))):
                 if len(known) > 256:
                     known.clear()
-                for name, text in ((x, text_x), (y, text_y)):
+                for name, raw in ((x, packed_x), (y, packed_y)):
                     if name not in known:
-                        known[name] = shingle_sets([text])[0]
+                        known[name] = _members(raw)
                 one, other = known[x], known[y]
                 common = len(np.intersect1d(one, other, assume_unique=True))
                 if DENOMINATOR * common >= NUMERATOR * (len(one) + len(other) - common):
@@ -145,7 +161,7 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             at = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
 
-    return with_payload(pairs, texts).select("a", "b", "pa", "pb").mapInArrow(checked, "a long, b long")
+    return with_payload(pairs, members).select("a", "b", "pa", "pb").mapInArrow(checked, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -159,13 +175,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     total = sets.agg(F.sum(F.floor(F.col("n") * (1 - NUMERATOR / DENOMINATOR + SLACK)) + 1)).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     offered = own.select("text").mapInArrow(lambda b: _offered(b, buckets), PACKED)
-    postings = adaptive_postings(materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED), "shared"))
+    shared = materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED), "shared")
+    # no link without enough shared tokens: most documents drop out here
+    enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("lists"), F.first("size").alias("n")).where(F.col("lists") >= least_shared(F.col("n")))
+    postings = materialize(postings_of(shared.join(enough.select("id"), "id", "left_semi")), "prefixes")
     classes = sets.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc", "row")).alias("first"), F.min("doc").alias("doc"))
     wanted = postings.select(F.col("id")).distinct().join(classes, F.col("id") == F.col("key")).select("id", F.col("first.row").alias("row"))
     wanted = materialize(wanted, "wanted")
-    texts = own.withColumn("row", row).join(broadcast_below(wanted, BROADCAST_ROWS), "row").groupBy("id").agg(F.first("text").alias("value"))
-    texts = materialize(texts, "texts")
-    groups = linked_groups(postings, lambda pairs: similar_pairs(pairs, texts), (NUMERATOR, DENOMINATOR))
+    texts = own.withColumn("row", row).join(broadcast_below(wanted, BROADCAST_ROWS), "row").dropDuplicates(["id"])
+    members = materialize(texts.select("id", members_column(F.col("text")).alias("value")), "members")
+    groups = linked_groups(postings, lambda pairs: similar_pairs(pairs, members), (NUMERATOR, DENOMINATOR))
     rooted = classes.join(groups, F.col("key") == F.col("id"), "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     named = rooted.join(smallest, "root").select("key", "component", "root")

@@ -105,6 +105,18 @@ class Model:
         ]
         return 1.0 / (1.0 + np.exp(np.clip(density[0] - density[1], -700.0, 700.0)))
 
+    def text_column(self, text: Column) -> Column:
+        """Score of each whole text, measured and scored in one go."""
+        model = self
+
+        @F.arrow_udf("double")
+        def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for values in batches:
+                x = np.array([statistics(raw) for raw in raw_bytes(values)]).reshape(len(values), len(STATISTICS))
+                yield pa.array(model.scores(x), pa.float64())
+
+        return scored(text)
+
     def column(self, measured: Column) -> Column:
         """Score from 0 to 1 of an array of statistics; higher means that label 1 is likelier."""
         model = self

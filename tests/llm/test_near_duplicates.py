@@ -31,7 +31,7 @@ def test_linked_groups_miss_no_link(spark, rounds):
     """Ids are numbers, linked when at most 3 apart: lists share tens, so few lists hold many ids."""
     rng = random.Random(6)
     ids = sorted({rng.randrange(400) for _ in range(160)})
-    postings = frame(spark, [(t, i, 1, 0, 10) for i in ids for t in {i // 10, (i + 5) // 10 + 1000}], "token long, id long, need long, spare long, size long")
+    postings = frame(spark, [(t, i, 1, 10) for i in ids for t in {i // 10, (i + 5) // 10 + 1000}], "token long, id long, need long, size long")
     groups = Groups()
     for a in ids:
         for b in ids:
@@ -226,3 +226,18 @@ def test_multi_index_finds_all_within_radius(spark):
     df = frame(spark, pairs, "a long, b long, d int")
     met = df.select("d", F.arrays_overlap(decontaminate.block_values(F.col("a")), decontaminate.near_values(F.col("b"))).alias("met")).collect()
     assert all(r["met"] for r in met if r["d"] <= decontaminate.RADIUS)
+
+
+def test_ngram_join_at_the_very_threshold(spark):
+    """Sets of n - 1 and n shingles, and pairs of equal size that share exactly three quarters of the union."""
+    rows, n = [], 0
+    for size in (4, 8, 12, 16, 24):
+        words = [f"w{size}x{i}" for i in range(size + 4)]
+        rows += [(n, " ".join(words[:-1])), (n + 1, " ".join(words))]
+        other = [f"v{size}x{i}" for i in range(size + 4)]
+        cut = size * 3 // 4
+        rows += [(n + 2, " ".join(other[: cut + 4])), (n + 3, " ".join(other))]
+        n += 4
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(frame(spark, rows)).collect()}
+    want = jaccard_components(rows)
+    assert got == want and sum(i != c for i, (_, c) in want.items()) == 10
