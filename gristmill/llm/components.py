@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.scratch import materialize
@@ -76,12 +76,13 @@ def _lightened(own: DataFrame) -> DataFrame:
     return materialize(out.where("rank > left_out").drop("rank", "met"), "lightened")
 
 
-def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: tuple[int, int], rounds: int = 3) -> DataFrame:
-    """(id, root) of all ids with a link, from ``postings`` (token, id, need, size, and maybe spare: all long).
+def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: tuple[int, int], rounds: int = 3,
+                  close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """(id, root) of all ids with a link, from ``postings`` (token, id, need, size, and maybe spare and mark: all long).
 
-    Ids may be linked only if both share at least their ``need`` of tokens and the smaller size is at least
-    ratio[0] / ratio[1] of the larger; ``spare`` is less than the ``need`` of either id of any link.  ``verify`` takes
-    pairs (a < b) and returns those that are linked.
+    Ids may be linked only if both share at least their ``need`` of tokens, the smaller size is at least ratio[0] / ratio[1]
+    of the larger, and their marks are ``close``; ``spare`` is less than the ``need`` of either id of any link.  ``verify``
+    takes pairs (a < b) and returns those that are linked.
 
     Rounds: in every token's list the ids meet one id of it, another one each round, and each id tries the one it meets
     most often outside its group; what is verified joins groups.  That takes a pair an id and round and settles groups of copies.  At last
@@ -92,12 +93,15 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     own, groups = _open(postings, None), None
     links = own.sparkSession.createDataFrame([], "a long, b long")
 
-    def fits(one: str, other: str):
-        return F.least(one, other) * ratio[1] >= F.greatest(one, other) * ratio[0]
+    def fits(size: str, mark: str, other_size: str, other_mark: str) -> Column:
+        near = F.least(size, other_size) * ratio[1] >= F.greatest(size, other_size) * ratio[0]
+        return near & close(F.col(mark), F.col(other_mark)) if close else near
+
+    marked = ["mark"] if close else []
 
     for number in range(rounds):
-        first = own.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)), "id", "size", "root")).alias("first"))
-        met = own.join(first, "token").where((F.col("root") != F.col("first.root")) & fits("size", "first.size"))
+        first = own.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)), "id", "size", "root", *marked)).alias("first"))
+        met = own.join(first, "token").where((F.col("root") != F.col("first.root")) & fits("size", "mark", "first.size", "first.mark"))
         met = met.groupBy("id", F.col("first.id").alias("other")).agg(F.count(F.lit(1)).alias("times"))
         best = met.groupBy("id").agg(F.max(F.struct("times", "other")).alias("best"))
         pairs = best.select(F.least("id", "best.other").alias("a"), F.greatest("id", "best.other").alias("b")).distinct()
@@ -109,9 +113,9 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
         own = _open(own, groups)
 
     light = _lightened(own) if "spare" in own.columns else own.withColumn("left_out", F.lit(0).cast("long"))
-    left = light.select("token", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("need").alias("na"), F.col("left_out").alias("la"), F.col("size").alias("sa"))
-    right = light.select("token", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("need").alias("nb"), F.col("left_out").alias("lb"), F.col("size").alias("sb"))
-    could = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits("sa", "sb"))
+    renamed = {"id": "", "root": "r", "need": "n", "left_out": "l", "size": "s"} | {name: "m" for name in marked}
+    left, right = (light.select("token", *(F.col(c).alias(short + side) for c, short in renamed.items())) for side in "ab")
+    could = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits("sa", "ma", "sb", "mb"))
     least = F.greatest("na", "nb") - F.col("la") - F.col("lb")
     could = could.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(least).alias("least")).where("shared >= least")
     found = materialize(verify(materialize(could.select("a", "b"), "pairs")), "links")

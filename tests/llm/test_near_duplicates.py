@@ -96,6 +96,15 @@ def lines_corpus():
     return rows + [(90, None), (91, ""), (92, "\n\n \n"), (93, "\ta\r\nb\n"), (94, "a\nB"), (95, "k" * 30_000 + "\n" + "k" * 29_999 + "j")]
 
 
+def test_edit_distances_within_a_bound():
+    rng = random.Random(15)
+    for _ in range(400):
+        one = "".join(rng.choice("abé") for _ in range(rng.randrange(25)))
+        other = one if rng.random() < 0.2 else "".join(c for c in one if rng.random() < 0.8) + "".join(rng.choice("abc") for _ in range(rng.randrange(5)))
+        distance = edit_distance(one, other)
+        assert [line_dedup.edits_within(one, other, k) for k in range(30)] == [distance <= k for k in range(30)]
+
+
 def test_line_dedup_equals_all_pairs(spark):
     rows = lines_corpus()
     docs = frame(spark, [(i, t, "line", "row", None if t is None else len(t)) for i, t in rows], DOCUMENTS).withColumnRenamed("lang", "line").withColumnRenamed("source", "row").repartition(3)
