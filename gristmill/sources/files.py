@@ -75,5 +75,7 @@ def write_parquet(df: DataFrame, path: str) -> str:
 def export_csv(df: DataFrame, path: str, charset: str = "utf-8") -> str:
     """Drop-and-replace a CSV export with header, one file per partition."""
     encoding = CHARSETS.get(charset.lower(), charset)
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", encoding)
+    # the writer would trim values otherwise
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
