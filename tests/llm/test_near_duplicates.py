@@ -26,7 +26,7 @@ def test_connected_equals_union(spark):
     assert connected(frame(spark, [], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 4])
+@pytest.mark.parametrize("rounds", [0, 3])
 def test_linked_groups_miss_no_link(spark, rounds):
     """Ids are numbers, linked when at most 3 apart: lists share tens, so few lists hold many ids."""
     rng = random.Random(6)
