@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.scratch import materialize
 
 #: Verifying a candidate costs as much as meeting so many rows of lists.
-VERIFY_COST = 200
+VERIFY_COST = 20
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -44,17 +44,17 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _open(own: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Postings with ``root`` and ``df`` that may still lead to another group.
+    """Postings with ``root``, ``df`` and ``lists`` (how many each id stands in) that may still lead to another group.
 
     Ids of different groups share at least their ``need`` of tokens, and every list that holds both is a list of several
     groups.  So other lists go, and then ids that stand in fewer than ``need`` of the rest.
     """
-    own = own.drop("root", "df")
+    own = own.drop("root", "df", "lists")
     own = own.withColumn("root", F.col("id")) if groups is None else own.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
     lists = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("df")).where("low < high")
     own = own.join(lists.select("token", "df"), "token")
     enough = own.groupBy("id").agg(F.count(F.lit(1)).alias("lists"), F.first("need").alias("least")).where("lists >= least")
-    return materialize(own.join(enough.select("id"), "id", "left_semi"), "open")
+    return materialize(own.join(enough.select("id", "lists"), "id"), "open")
 
 
 def _lightened(own: DataFrame) -> DataFrame:
@@ -77,31 +77,34 @@ def _lightened(own: DataFrame) -> DataFrame:
 
 
 def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: tuple[int, int], rounds: int = 3,
-                  close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+                  close: Callable[[Column, Column], Column] | None = None, overlap: tuple[int, int] | None = None) -> DataFrame:
     """(id, root) of all ids with a link, from ``postings`` (token, id, need, size, and maybe spare and mark: all long).
 
     Ids may be linked only if both share at least their ``need`` of tokens, the smaller size is at least ratio[0] / ratio[1]
-    of the larger, and their marks are ``close``; ``spare`` is less than the ``need`` of either id of any link.  ``verify``
-    takes pairs (a < b) and returns those that are linked.
+    of the larger, their marks are ``close``, and, with ``overlap``, they share that part of the sum of their sizes, which
+    neither can if it stands in fewer lists; ``spare`` is less than ``need``.  ``verify`` takes pairs (a < b) and returns
+    those that are linked.
 
     Rounds: in every token's list the ids meet one id of it, another one each round, and each id tries the one it meets
     most often outside its group; what is verified joins groups.  That takes a pair an id and round and settles groups of copies.  At last
     every pair of ids that could be linked but stand in different groups is verified, so no link between groups is missed:
-    each id leaves out some of its longest lists (``_lightened``); the shortest list that holds two linked ids is left out by neither,
-    as fewer than ``need`` longer ones are, and of the shared tokens at most those are missing.
+    each id leaves out some of its longest lists (``_lightened``); the shortest list that holds two linked ids is left out by
+    neither, as ``need - 1`` other shared ones are longer, and of the shared tokens at most those left out are missing.
     """
     own, groups = _open(postings, None), None
     links = own.sparkSession.createDataFrame([], "a long, b long")
 
-    def fits(size: str, mark: str, other_size: str, other_mark: str) -> Column:
+    def fits(size: str, lists: str, mark: str, other_size: str, other_lists: str, other_mark: str) -> Column:
         near = F.least(size, other_size) * ratio[1] >= F.greatest(size, other_size) * ratio[0]
+        if overlap:
+            near = near & (F.least(lists, other_lists) * overlap[1] >= (F.col(size) + F.col(other_size)) * overlap[0])
         return near & close(F.col(mark), F.col(other_mark)) if close else near
 
     marked = ["mark"] if close else []
 
     for number in range(rounds):
-        first = own.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)), "id", "size", "root", *marked)).alias("first"))
-        met = own.join(first, "token").where((F.col("root") != F.col("first.root")) & fits("size", "mark", "first.size", "first.mark"))
+        first = own.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(number)), "id", "size", "root", "lists", *marked)).alias("first"))
+        met = own.join(first, "token").where((F.col("root") != F.col("first.root")) & fits("size", "lists", "mark", "first.size", "first.lists", "first.mark"))
         met = met.groupBy("id", F.col("first.id").alias("other")).agg(F.count(F.lit(1)).alias("times"))
         best = met.groupBy("id").agg(F.max(F.struct("times", "other")).alias("best"))
         pairs = best.select(F.least("id", "best.other").alias("a"), F.greatest("id", "best.other").alias("b")).distinct()
@@ -113,10 +116,13 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
         own = _open(own, groups)
 
     light = _lightened(own) if "spare" in own.columns else own.withColumn("left_out", F.lit(0).cast("long"))
-    renamed = {"id": "", "root": "r", "need": "n", "left_out": "l", "size": "s"} | {name: "m" for name in marked}
+    renamed = {"id": "", "root": "r", "need": "n", "left_out": "l", "size": "s", "lists": "c"} | {name: "m" for name in marked}
     left, right = (light.select("token", *(F.col(c).alias(short + side) for c, short in renamed.items())) for side in "ab")
-    could = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits("sa", "ma", "sb", "mb"))
-    least = F.greatest("na", "nb") - F.col("la") - F.col("lb")
+    could = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits("sa", "ca", "ma", "sb", "cb", "mb"))
+    least = F.greatest("na", "nb")
+    if overlap:
+        least = F.greatest(least, F.ceil((F.col("sa") + F.col("sb")) * overlap[0] / F.lit(overlap[1])))
+    least = least - F.col("la") - F.col("lb")
     could = could.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(least).alias("least")).where("shared >= least")
     found = materialize(verify(materialize(could.select("a", "b"), "pairs")), "links")
     if not found.isEmpty():

@@ -5,11 +5,15 @@ their Jaccard similarity reaches 75 / 100.  In the order of the hashes, two sets
 overlap in at least t members share at least l members among their first size - t + l
 ones.  A document offers such a prefix, t = ceil(0.75 size) and l = size / 4 + 1, and
 
-* documents that share fewer than l tokens with all others together drop out before any
-  pair is made, again after every round of links;
-* a prefix prolonged by d tokens may leave out its d longest lists: how many is chosen for
-  each document by the estimated cost, rows met plus candidates to verify, and a
-  candidate needs as many shared tokens as are left of l.
+* documents that share fewer than l tokens with all others together have no candidate
+  and drop out before any pair is made;
+* those left have candidates: their prefixes are lengthened to the whole set, which asks
+  for ceil(0.75 size) shared tokens, and documents drop out again, also after every round
+  of links;
+* a set may leave out its longest lists, fewer than any linked set shares with it: how
+  many is chosen for each document by the estimated cost, rows met plus candidates to
+  verify, and a candidate needs as many shared tokens as are left of those asked for;
+* a pair shares 3 / 7 of the sum of its sizes, so sets that stand in fewer lists are no pair.
 
 Equal sets are one class; links are looked for between classes and settle groups as
 ``components.linked_groups`` says, so a group of copies costs one pair a member.
@@ -99,15 +103,40 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             yield from packed(np.concatenate(tokens), np.concatenate(own), np.concatenate(place), keys, sizes, buckets)
 
 
-def postings_of(shared: DataFrame) -> DataFrame:
-    """(token, id, need, spare, size) for ``components.linked_groups``: see ``least_shared``.
+def survivors(shared: DataFrame) -> DataFrame:
+    """Ids that share at least ``least_shared`` tokens of their prefix with others."""
+    lists = shared.groupBy("id").agg(F.count(F.lit(1)).alias("lists"), F.first("size").alias("n"))
+    return lists.where(F.col("lists") >= least_shared(F.col("n"))).select("id")
 
-    Linked sets have sizes within the similarity, so what the smallest partner shares bounds ``spare``.
-    """
-    partner = F.ceil(F.col("size") * NUMERATOR / F.lit(DENOMINATOR))
-    return shared.select(
-        "token", "id", least_shared(F.col("size")).alias("need"), (least_shared(partner) - 1).alias("spare"), "size"
-    )
+
+def whole_postings(members: DataFrame) -> DataFrame:
+    """(token, id, need, spare, size) of whole sets, from (id, value): tokens that several of them have."""
+    total = members.agg(F.sum(F.length("value"))).first()[0] or 0
+    buckets = max(1, math.ceil(total / MEMBER_BYTES / BUCKET_TOKENS))
+
+    def offered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("id").to_pylist(), raw_bytes(batch.column("value")))
+            for part in chunks((Named(raw, name) for name, raw in rows), 32 * CHUNK):
+                sets = [_members(raw) >> np.uint64(64 - TOKEN_BITS) for raw in part]
+                own = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+                yield from packed(np.concatenate(sets), own, np.zeros(len(own), np.uint32), [r.name for r in part], [len(s) for s in sets], buckets)
+
+    shared = members.mapInArrow(offered, PACKED).groupBy("bucket").applyInArrow(shared_tokens, SHARED)
+
+    def needed(size: Column) -> Column:
+        return F.ceil(size * NUMERATOR / F.lit(DENOMINATOR))
+
+    return shared.select("token", "id", needed(F.col("size")).alias("need"), (needed(F.col("size")) - 1).alias("spare"), "size")
+
+
+class Named(bytes):
+    """Bytes with the id they belong to."""
+
+    def __new__(cls, raw: bytes, name: int):
+        own = super().__new__(cls, raw)
+        own.name = name
+        return own
 
 
 def least_shared(size: Column) -> Column:
@@ -176,15 +205,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     offered = own.select("text").mapInArrow(lambda b: _offered(b, buckets), PACKED)
     shared = materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED), "shared")
-    # no link without enough shared tokens: most documents drop out here
-    enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("lists"), F.first("size").alias("n")).where(F.col("lists") >= least_shared(F.col("n")))
-    postings = materialize(postings_of(shared.join(enough.select("id"), "id", "left_semi")), "prefixes")
+    alive = materialize(survivors(shared), "alive")
     classes = sets.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc", "row")).alias("first"), F.min("doc").alias("doc"))
-    wanted = postings.select(F.col("id")).distinct().join(classes, F.col("id") == F.col("key")).select("id", F.col("first.row").alias("row"))
+    wanted = alive.join(classes, F.col("id") == F.col("key")).select("id", F.col("first.row").alias("row"))
     wanted = materialize(wanted, "wanted")
     texts = own.withColumn("row", row).join(broadcast_below(wanted, BROADCAST_ROWS), "row").dropDuplicates(["id"])
     members = materialize(texts.select("id", members_column(F.col("text")).alias("value")), "members")
-    groups = linked_groups(postings, lambda pairs: similar_pairs(pairs, members), (NUMERATOR, DENOMINATOR))
+    postings = materialize(whole_postings(members), "whole-sets")
+    groups = linked_groups(postings, lambda pairs: similar_pairs(pairs, members), (NUMERATOR, DENOMINATOR), overlap=(NUMERATOR, NUMERATOR + DENOMINATOR))
     rooted = classes.join(groups, F.col("key") == F.col("id"), "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     named = rooted.join(smallest, "root").select("key", "component", "root")
