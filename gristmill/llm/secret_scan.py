@@ -35,7 +35,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 CLASSES = (
     ("entropy_hex", re.compile(r"[0-9a-fA-F]{20,}"), 20, 3.0),
     ("entropy_base64", re.compile(r"[A-Za-z0-9+/]{20,}"), 20, 3.8),
+    ("entropy_base64url", re.compile(r"[A-Za-z0-9_-]{20,}"), 20, 3.8),
 )
+#: A run of the last class that holds none of these is one of the class before as well, and is left to it.
+URL_SAFE, URL_SAFE_ONLY = len(CLASSES) + 2, re.compile(r"[_-]")
 #: Candidates that these match whole are no secrets: words with joints, numbers, the alphabet, rules.
 ALLOWED = (
     re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/+=](?:[A-Z]?[a-z]+|[A-Z]+))*[-_/+=]*"),
@@ -91,6 +94,8 @@ def entropy_spans(text: str) -> list[tuple[int, int, int]]:
             continue
         for kind, (_, members, window, bits) in enumerate(CLASSES, 3):
             for run in members.finditer(own):
+                if kind == URL_SAFE and not URL_SAFE_ONLY.search(run[0]):
+                    continue
                 at = candidate.start() + run.start()
                 found += [(at + start, kind, at + end) for start, end in dense_spans(run[0], window, bits)]
     return sorted(found)

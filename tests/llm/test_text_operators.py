@@ -104,3 +104,16 @@ def test_secret_kinds(spark):
     assert found[2, 0, 0, 1]["spans"].startswith("hex:0:32,entropy_hex:0:32")
     assert "entropy_base64" in found[5, 1, 0, 0]["spans"] and found[5, 1, 0, 0]["spans"].count("entropy") == 1
     assert found[3, 0, 0, 0]["spans"] == "" and secret_scan.scan(frame(spark, [])).count() == 0
+
+
+def test_url_safe_keys_with_a_joint_at_every_place():
+    key = "q7ZpR2xW9vB4nM1cK8tY6u"
+    for joint in "-_":
+        for place in range(len(key)):
+            own = key[:place] + joint + key[place + 1 :]
+            kinds = {kind: (start, end) for start, kind, end in secret_scan.entropy_spans(f"see {own} there")}
+            assert kinds[secret_scan.KINDS.index("entropy_base64url")] == (4, 4 + len(own))
+    several = "aZ3-kQ8_xP1-mW6_tR9-bY4_nC7-"
+    assert [secret_scan.KINDS[kind] for _, kind, _ in secret_scan.entropy_spans(several)] == ["entropy_base64url"]
+    assert secret_scan.entropy_spans("well-known-words_with-joints-are_no-secrets") == []
+    assert [secret_scan.KINDS[kind] for _, kind, _ in secret_scan.entropy_spans(key)] == ["entropy_base64"]
