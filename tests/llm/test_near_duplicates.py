@@ -122,6 +122,30 @@ def test_line_dedup_equals_all_pairs(spark):
     assert {r["doc_id"] for r in out.collect()} == {d for d, _ in rows} - lost
 
 
+def changed_lines():
+    """(line, other) that differ in one long word, a split word, or typos in a few places; their edit similarity is at least 0.9."""
+    rng = random.Random(21)
+    word = lambda low, high: "".join(rng.choice("abcdefghijklmnoprstuvwé") for _ in range(rng.randint(low, high)))
+    for words in [4, 8, 12, 20, 40] * 12:
+        own = [word(8, 10) for _ in range(words)]
+        at, changed = rng.randrange(words), min(10, words * 8 // 10 - 1)
+        line = " ".join(own)
+        yield line, " ".join([*own[:at], word(changed, changed) + own[at][changed:], *own[at + 1 :]])
+        yield line, " ".join([*own[:at], own[at][:4], own[at][4:], *own[at + 1 :]])
+        typos = list(line)
+        for place in rng.sample(range(len(line)), min(len(line) // 10, 4)):
+            typos[place] = "x"
+        yield line, "".join(typos)
+
+
+def test_line_dedup_finds_changed_words(spark):
+    pairs = list(changed_lines())
+    assert all(line_dedup.edits_within(a, b, max(len(a), len(b)) // 10) for a, b in pairs)
+    plain, _, n_gone = line_dedup.without_repeated_lines(frame(spark, [(2 * i + k, pair[k]) for i, pair in enumerate(pairs) for k in (0, 1)]))
+    gone = {r["d"] for r in plain.select(F.col("__0").alias("d"), n_gone.alias("n")).collect() if r["n"]}
+    assert gone == {d for i, (a, b) in enumerate(pairs) for d in (2 * i, 2 * i + 1) if d % 2 or i % 3}
+
+
 def test_line_dedup_of_odd_tables(spark):
     docs = frame(spark, [(1, "one two\nx"), (1, "one two\nx"), (None, "x"), (2, "one two")])
     got = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.deduplicated(docs).collect())
