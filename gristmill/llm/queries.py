@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from gristmill.llm import byte_bpe, chat_tools, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, suffix_dedup, topk_search
+from gristmill.llm import best_fit, byte_bpe, chat_tools, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, suffix_dedup, topk_search
 from gristmill.llm.common import pick
-from gristmill.llm.settings import SHARDS, THRESHOLD, table, tokenizer
+from gristmill.llm.settings import SHARDS, THRESHOLD, table, tokenizer, vocabulary
 from gristmill.scratch import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,6 +163,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
 
 
+@query("op13_best_fit_packing")
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = materialize(best_fit.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")), "pieces")
+    return best_fit.packed(cut).drop("number")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -18,3 +18,10 @@ def tokenizer() -> tuple[str, str]:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def vocabulary(file: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(file)
