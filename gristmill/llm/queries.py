@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from gristmill.llm import best_fit, byte_bpe, chat_tools, cross_align, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, suffix_dedup, topk_search
+from gristmill.llm import best_fit, byte_bpe, chat_tools, cross_align, decontaminate, line_dedup, ngram_join, quality_qda, secret_scan, shard_shuffle, spelling, suffix_dedup, topk_search
 from gristmill.llm.common import pick
 from gristmill.llm.settings import SHARDS, THRESHOLD, table, tokenizer, vocabulary
 from gristmill.scratch import materialize
@@ -163,6 +163,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
 
 
+@query("op11_spelling")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 @query("op12_cross_align")
 def op12_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_align.linked(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
