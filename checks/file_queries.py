@@ -85,8 +85,8 @@ def typed_load_titles(spark, d):
     )
     # every key twice, the second with another title: the first of a key stays
     again = raw.withColumn("title", F.lit("later"))
-    one_file = raw.unionByName(again).repartition(1).sortWithinPartitions("show_id", F.col("title") == "later")
-    return loaded(spark, one_file, tables.TITLES)
+    in_order = [F.col("show_id"), F.col("title") == "later"]
+    return loaded(spark, raw.unionByName(again).repartitionByRange(*in_order).sortWithinPartitions(*in_order), tables.TITLES)
 
 
 @query("typed_load_mart", """

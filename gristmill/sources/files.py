@@ -1,8 +1,8 @@
 """Delimited files in and out.
 
 Raw files are read as text and coerced column by column afterwards; nothing is
-inferred from the data.  A CSV with quoted line breaks cannot be split, so
-convert it to Parquet once and let every later step read that.
+inferred from the data.  Files with quoted line breaks are read block by block
+(``quoted_csv``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions.casting import to_day
+from gristmill.sources.quoted_csv import fields, records
 
 # Texts that table readers take for missing.
 MISSING_TEXTS = (
@@ -33,6 +34,7 @@ def read_csv(
     date_columns: Sequence[str] = (),
     charset: str = "utf-8",
     multi_line: bool = True,
+    split: bool = True,
     missing_texts: Sequence[str] = MISSING_TEXTS,
     file_order: bool = False,
     header: Sequence[str] | None = None,
@@ -42,17 +44,23 @@ def read_csv(
 
     ``columns`` selects by header name.  ``header`` gives the names of the header
     line, so that no file is opened before the query runs.  ``file_order`` adds the
-    columns of ``FILE_ORDER``.  Quoted line breaks need ``multi_line``, and then
-    one task reads a whole file; ``parts`` deals its rows out before they are
-    parsed further.  Charsets beyond the built-in ones need the session setting
-    of ``session.SETTINGS``.
+    columns of ``FILE_ORDER``.  ``multi_line`` allows quoted line breaks.  With
+    ``split`` each block of a file is a task of its own; quotes may then stand
+    around whole fields only.  Without it one task reads a whole file, and
+    ``parts`` deals its rows out before they are parsed further.  Charsets beyond
+    the built-in ones need the session setting of ``session.SETTINGS``.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    java_charset = CHARSETS.get(charset.lower(), charset)
+    reader = reader.option("encoding", java_charset)
+    if multi_line and split and not java_charset.upper().startswith("UTF-16") and not java_charset.upper().startswith("UTF-32"):
+        every = list(header or reader.csv(path).columns)
+        found = records(spark, path, java_charset).where("file_block <> 0 OR file_row <> 0")
+        raw = found.select(*FILE_ORDER, fields(F.col("record"), every).alias("__record")).select(*FILE_ORDER, *(F.col(f"__record.`{c}`") for c in every))
+        return _cleaned(raw, list(columns or every), missing_texts, date_columns, [F.col(c) for c in FILE_ORDER] if file_order else [], parts)
     if header:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in header]))
-    raw = reader.option("encoding", CHARSETS.get(charset.lower(), charset)).csv(path)
-    names = list(columns or raw.columns)
-    markers = [m for m in missing_texts if m]
+    raw = reader.csv(path)
     order: list[Column] = []
     if file_order:
         order = [
@@ -60,6 +68,12 @@ def read_csv(
             F.col("_metadata.file_block_start").alias("file_block"),
             F.monotonically_increasing_id().alias("file_row"),
         ]
+    return _cleaned(raw, list(columns or raw.columns), missing_texts, date_columns, order, parts)
+
+
+def _cleaned(raw: DataFrame, names: list[str], missing_texts: Sequence[str], date_columns: Sequence[str], order: list[Column], parts: int | None) -> DataFrame:
+    """The named text columns with NULL for missing markers, and dates."""
+    markers = [m for m in missing_texts if m]
     text = [F.when(~F.col(f"`{c}`").isin(markers), F.col(f"`{c}`")).alias(c) if markers else F.col(c) for c in names]
     df = raw.select(*text, *order)
     df = df.repartition(parts) if parts else df
