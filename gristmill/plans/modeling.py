@@ -158,7 +158,7 @@ def feature_cells(split_df: DataFrame, decimals: int = 6) -> DataFrame:
 def logistic(train_rows: int) -> LogisticRegression:
     """Balanced logistic baseline with unit L2 strength (the mean loss needs it divided by the rows)."""
     return LogisticRegression(
-        labelCol=TARGET, weightCol="class_weight", maxIter=1000, regParam=1.0 / train_rows,
+        labelCol=TARGET, weightCol="class_weight", maxIter=1000, tol=1e-9, regParam=1.0 / train_rows,
         elasticNetParam=0.0, standardization=False,
     )
 
@@ -275,9 +275,9 @@ def with_folds(train: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataFr
 
 
 def search(
-    train: DataFrame, settings: Sequence[Mapping], folds: int = FOLDS, seed: int = SEED, parallelism: int = 4
+    train: DataFrame, settings: Sequence[Mapping], folds: int = FOLDS, seed: int = SEED, parallelism: int = 4, keep_models: bool = False
 ) -> tuple[CrossValidatorModel, list[Mapping]]:
-    """Cross-validated search for the best F1; the best setting is refitted on all train rows."""
+    """Cross-validated search for the best F1; the best setting is refitted on all train rows.  ``keep_models`` keeps those of the folds."""
     model = forest()
     grid = [
         {
@@ -297,6 +297,7 @@ def search(
         foldCol="fold",
         parallelism=parallelism,
         seed=seed,
+        collectSubModels=keep_models,
     )
     return validator.fit(folded), list(settings)
 
@@ -315,7 +316,7 @@ def fit_tuned(split_df: DataFrame, name: str = "RandomForest_tuned", settings: S
     """The winner of the search, scored on the test rows, and its mean F1 over the folds."""
     train, test = parts_of(split_df)
     found, _ = search(train, draw_settings() if settings is None else settings)
-    return Fitted(name, found.bestModel, score(found.bestModel, test)), max(found.avgMetrics)
+    return Fitted(name, found.bestModel, score(found.bestModel, test)), float(max(found.avgMetrics))
 
 
 def model_comparison(split_df: DataFrame, trees: int = 300, settings: Sequence[Mapping] | None = None) -> DataFrame:
