@@ -69,22 +69,51 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def within(a, b, most):
+    """Is the edit distance at most ``most``?  A column of the table at a time, its differences held in the bits of two numbers."""
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    full, last, at = (1 << len(a)) - 1, 1 << (len(a) - 1), {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    up, down, distance = full, 0, len(a)
+    for y in b:
+        same = at.get(y, 0)
+        across = (((same & up) + up) ^ up) | same
+        right, left = down | (full & ~(across | up)), up & across
+        distance += bool(right & last) - bool(left & last)
+        right, left = (right << 1 | 1) & full, (left << 1) & full
+        up, down = left | (full & ~(same | down | right)), right & (same | down)
+    return distance <= most
+
+
 def lines_kept(rows):
-    """doc_id -> kept lines, by comparing all pairs of different normal forms."""
-    from gristmill.llm.line_dedup import RADIUS, line_marks
+    """doc_id -> kept lines, by comparing all pairs of different normal forms.
 
-    prints, seen = {}, {}
+    An edit changes the count of at most two characters by one, so forms whose counts differ by more need no look.
+    """
+    import numpy as np
+
+    seen = {}
     for d, text in sorted(rows):
         for n, line in enumerate((text or "").split("\n")):
             form = b" ".join(line.encode().lower().split()).decode()
             if form:
                 seen.setdefault(form, []).append((d, n))
-                prints.setdefault(form, int(line_marks([line.encode()])[3][0]))
-    groups, forms = Groups(), list(prints)
+    groups, forms = Groups(), list(seen)
+    letters = sorted({c for form in forms for c in form})
+    at = {c: k for k, c in enumerate(letters)}
+    counts = np.zeros((len(forms), len(letters)), np.int32)
+    for i, form in enumerate(forms):
+        np.add.at(counts[i], [at[c] for c in form], 1)
+    sizes = np.array([len(form) for form in forms])
     for i, a in enumerate(forms):
-        for j in range(i):
-            b = forms[j]
-            if (prints[a] ^ prints[b]).bit_count() <= RADIUS and edit_distance(a, b) <= max(len(a), len(b)) // 10:
+        most = np.maximum(sizes[:i], len(a)) // 10
+        near = np.flatnonzero(np.abs(sizes[:i] - len(a)) <= most)
+        apart = counts[near] - counts[i]
+        near = near[(np.clip(apart, 0, None).sum(axis=1) <= most[near]) & (np.clip(-apart, 0, None).sum(axis=1) <= most[near])]
+        for j in near.tolist():
+            if groups.find(i) != groups.find(j) and within(a, forms[j], int(most[j])):
                 groups.join(i, j)
     first = {}
     for i, form in enumerate(forms):
@@ -117,9 +146,13 @@ def contaminated(rows, items):
     found = set()
     for d, text in rows:
         words = (text or "").lower().split()
+        runs = {k: {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} for k in range(1, 6)}
         for _, item in items:
             own = (item or "").lower().split()
             n, k = len(own), min(5, len(own))
+            # a window without a run of the item shares nothing
+            if n and not any(tuple(own[i : i + k]) in runs[k] for i in range(n - k + 1)):
+                continue
             want = Counter(tuple(own[i : i + k]) for i in range(n - k + 1)) if n else Counter()
             for s in range(len(words) - n + 1 if n else 0):
                 have = Counter(tuple(words[s + i : s + i + k]) for i in range(n - k + 1))

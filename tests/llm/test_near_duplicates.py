@@ -11,7 +11,7 @@ from gristmill.llm import decontaminate, line_dedup, ngram_join, suffix_dedup
 from gristmill.llm.components import connected, linked_groups, with_payload
 from gristmill.llm.suffix_order import blind_trie, deep_shallow
 from gristmill.llm.words import shingle_sets
-from tests.llm.helpers import DOCUMENTS, Groups, contaminated, edit_distance, frame, jaccard_components, lines_kept, near_copies, removed_bytes, shingles
+from tests.llm.helpers import DOCUMENTS, Groups, contaminated, edit_distance, frame, jaccard_components, lines_kept, near_copies, removed_bytes, shingles, within
 
 
 def test_connected_equals_union(spark):
@@ -96,6 +96,13 @@ def lines_corpus():
     return rows + [(90, None), (91, ""), (92, "\n\n \n"), (93, "\ta\r\nb\n"), (94, "a\nB"), (95, "k" * 30_000 + "\n" + "k" * 29_999 + "j")]
 
 
+def test_plain_versions_agree_on_edit_distances():
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randint(0, 12))) for _ in range(2))
+        assert [within(a, b, k) for k in range(13)] == [edit_distance(a, b) <= k for k in range(13)]
+
+
 def test_edit_distances_within_a_bound():
     rng = random.Random(15)
     for _ in range(400):

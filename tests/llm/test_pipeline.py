@@ -8,7 +8,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_names():
     names = [n for n in queries.QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries.QUERIES
     assert set(queries.EXPECTED) <= set(queries.QUERIES)
 
 
