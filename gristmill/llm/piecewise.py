@@ -19,7 +19,7 @@ import numpy as np
 REMEMBERED_LENGTH, REMEMBERED, AT_ONCE = 40, 1 << 19, 2000
 #: White space beyond ASCII's, and characters that some engines take for it: such texts are encoded whole.
 _UNUSUAL = re.compile("[\x00\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
-_LETTERS, _STOPS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[.,;:!?]+(?=\s|\Z)"
+_LETTERS, _STOPS = "[A-Za-zÀ-ÖØ-öø-ÿ]++", r"[.,;:!?]++(?=\s|\Z)"
 #: Letters before closing stops, such stops, other words.
 _WORD = re.compile(rf"{_LETTERS}(?={_STOPS})|{_STOPS}|\S+")
 #: The same with the blank before a word; white space up to the last one before a word; that one, unless it is a blank.
@@ -41,16 +41,16 @@ class Piecewise:
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """One array of unsigned 32-bit ids a text."""
         cut = [self._cut(text) for text in texts]
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        known, once = self._known, {}
-        new = list({s for stretches in cut for s in stretches if s not in known})
-        for stretch, ids in zip(new, self._encode(new) if new else ()):
-            store = known if len(stretch) <= REMEMBERED_LENGTH else once
-            store[stretch] = ids
-        if once:
-            return [np.frombuffer(b"".join([known[s] if s in known else once[s] for s in stretches]), "<u4") for stretches in cut]
-        return [np.frombuffer(b"".join([known[s] for s in stretches]), "<u4") for stretches in cut]
+        known = self._known
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = [s for s in set().union(*cut) if s not in known]
+        known.update(zip(new, self._encode(new) if new else ()))
+        out = [np.frombuffer(b"".join(map(known.__getitem__, stretches)), "<u4") for stretches in cut]
+        for stretch in new:
+            if len(stretch) > REMEMBERED_LENGTH:
+                del known[stretch]
+        return out
 
 
 def _library(path: str):
