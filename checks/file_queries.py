@@ -126,6 +126,17 @@ def stored_table(spark, d):
     return tables.read_table(spark, name, [name])
 
 
+@query("serial_ids", """
+SELECT i // 1000 AS block, count(*) AS ids, count(*) AS different_ids, min(i) + 1 AS least, max(i) + 1 AS most
+FROM range((SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders)) AS r(i) GROUP BY 1""")
+def serial_ids(spark, d):
+    """Order keys of lines, which repeat, numbered; those of orders numbered on from there."""
+    first = tables.serial_ids(table(spark, d, "lineitem").select("l_orderkey"))
+    more = tables.serial_ids(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey")), first)
+    blocks = first.unionByName(more).groupBy(F.floor((F.col("id") - 1) / 1000).alias("block"))
+    return blocks.agg(F.count("*").alias("ids"), F.count_distinct("id").alias("different_ids"), F.min("id").alias("least"), F.max("id").alias("most"))
+
+
 @query("reused_result", "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY o_orderstatus")
 def reused_result(spark, d):
     """Built at first, then stored and reused; the second build is never called."""

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions.casting import to_day, to_flag, to_real, to_whole
 from gristmill.operators.cleaning import keep_first
+from gristmill.scratch import materialize
 from gristmill.sources.files import read_csv
 
 
@@ -140,11 +142,27 @@ def stamp(df: DataFrame, keys: Sequence[str], id_column: str = "id") -> DataFram
     """Add a surrogate id (hash of the business key: stable across reloads) and the load time.
 
     A 64-bit hash: rows that share the key share the id, and among five billion keys some two are likely to.  Where the
-    id has to be unique, number the rows with ``operators.ordered.positions``.
+    id has to be unique, use ``serial_ids``.
     """
     return df.select(F.xxhash64(*keys).alias(id_column), "*", F.current_timestamp().alias("created_at"))
 
 
+def serial_ids(batch: DataFrame, target: DataFrame | None = None, id_column: str = "id") -> DataFrame:
+    """Add ids without gap or repeat, continued behind the largest id of ``target``; rows that are equal get ids of their own.
+
+    No sort and no shuffle of the rows: they are written once, each with its place in its task, and a task's ids begin
+    behind the rows of the tasks before it.  One short row per task is broadcast.
+    """
+    start = (target.agg(F.max(id_column)).first()[0] or 0) if target is not None else 0
+    placed = materialize(batch.withColumn("__place", F.monotonically_increasing_id()), "placed")
+    task, row = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(task.alias("__task")).agg(F.count("*").alias("__rows"))
+    begins = sizes.select("__task", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    joined = placed.withColumn("__task", task).join(F.broadcast(begins), "__task")
+    return joined.select((F.lit(start + 1) + F.col("__before") + row).cast("bigint").alias(id_column), *[F.col(f"`{c}`") for c in batch.columns])
+
+
 def load_csv_table(
     spark: SparkSession, path: str, spec: TableSpec, order: Sequence[str] | None = None, enforce: bool = True
 ) -> DataFrame:
@@ -163,12 +181,40 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, key: str, order: Seque
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Drop-and-replace a stored table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Drop-and-replace a stored table; until the new rows are whole, readers find the old ones, also after a failed write.
+
+    The rows are written beside the old ones, then the table is pointed at them.  Only a table of other columns or
+    partitions has to be dropped and made anew, after the write.  The version before stays for those who still read it,
+    older ones are deleted.
+    """
+    spark = df.sparkSession
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_versions/{name}"
+    path = f"{root}/{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    written = spark.read.parquet(path)
+    known = spark.catalog.tableExists(name)
+    columns = lambda t: [(f.name, f.dataType) for f in t.schema.fields]
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition] if known else []
+    if known and columns(spark.table(name)) == columns(written) and partitions == list(partition_by) and not partitions:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path, "parquet")
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    _delete_versions(spark, root)
+    return spark.table(name)
+
+
+def _delete_versions(spark: SparkSession, root: str) -> None:
+    """Keep the two newest versions of a table."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(hadoop)
+    for status in sorted(system.listStatus(folder), key=lambda s: -s.getModificationTime())[2:]:
+        system.delete(status.getPath(), True)
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:

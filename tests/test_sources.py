@@ -1,5 +1,6 @@
 import datetime
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,33 @@ def test_overlong_text_raises(spark):
     with pytest.raises(Exception, match="longer than 10"):
         tables.coerce(df, spec).collect()
     assert rows(tables.coerce(spark.createDataFrame([("s" * 10,), (None,)], "show_id string"), spec)) == [("s" * 10,), (None,)]
+
+
+def test_serial_ids_have_no_gap_and_go_on(spark):
+    batch = spark.createDataFrame([("same key", i % 3) for i in range(1000)], "key string, id2 int").repartition(7)
+    first = tables.serial_ids(batch)
+    assert first.columns == ["id", "key", "id2"] and sorted(r["id"] for r in first.collect()) == list(range(1, 1001))
+    assert rows(first, "id") == rows(first, "id")
+    more = tables.serial_ids(batch.limit(10), first)
+    assert sorted(r["id"] for r in more.collect()) == list(range(1001, 1011))
+    assert tables.serial_ids(batch.limit(0)).count() == 0
+    plan = tables.serial_ids(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark):
+    name = f"replaced_{uuid.uuid4().hex}"
+    old = spark.range(100).withColumn("note", F.lit("old"))
+    tables.replace_table(old, name)
+    late = F.when(F.col("id") == 90, F.raise_error(F.lit("half-way"))).otherwise(F.lit("new"))
+    with pytest.raises(Exception, match="half-way"):
+        tables.replace_table(spark.range(100).repartition(4).withColumn("note", late), name)
+    assert rows(spark.table(name)) == rows(old)
+    tables.replace_table(spark.table(name).where("id < 5"), name)  # also from its own rows
+    tables.append_table(spark.range(5, 7).withColumn("note", F.lit("old")), name)
+    assert rows(spark.table(name)) == rows(old.where("id < 7"))
+    tables.replace_table(spark.range(3), name)  # other columns
+    assert rows(spark.table(name)) == [(0,), (1,), (2,)]
+    tables.replace_table(old, name, partition_by=["note"])
+    assert spark.table(name).where("note = 'old'").count() == 100
+    spark.sql(f"DROP TABLE {name}")
