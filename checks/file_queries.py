@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from checks import movie_queries
 from checks.bindings import feed, table
 from checks.chart_queries import LEAKAGE_CTES, SAFE_CTES, leakage, safe
-from checks.registry import query, with_sql
+from checks.registry import EXPECTED, query, with_sql
+from gristmill.operators import joins, quality
 from gristmill.scratch import shared_folder
 from gristmill.sources import files, tables
 
@@ -174,3 +176,34 @@ def weekly_text_dates(spark, d):
     """A declared date column read from a file."""
     path = files.export_csv(feed(spark, d, "weekly_text"), place(spark, "weekly-text"))
     return files.read_csv(spark, path, columns=["week"], date_columns=["week"], parts=8).groupBy("week").agg(F.count("*").alias("lines"))
+
+
+@query("pivot_csv", EXPECTED["decade_keyword_pivot"])
+def pivot_csv(spark, d):
+    """A pivot with its index column as a file, read back."""
+    pivot = movie_queries.decade_keyword_pivot(spark, d)
+    path = files.export_csv(pivot, place(spark, "pivot"))
+    read = files.read_csv(spark, path, header=pivot.columns)
+    return read.select(*[F.col(f.name).cast(f.dataType) for f in pivot.schema.fields])
+
+
+HINDSIGHT = ("best_rank", "max_cumulative_weeks", "weeks_in_top10")
+
+
+@query("hindsight_columns", with_sql(*LEAKAGE_CTES, select=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS present, count(DISTINCT {c}) AS different FROM leakage" for c in HINDSIGHT)))
+def hindsight_columns(spark, d):
+    """What the leakage table has beyond the safe one: the extra columns, found by comparing schemas, and how they are filled."""
+    wide = leakage(spark, d)
+    extra = quality.extra_columns(wide, safe(spark, d))
+    long = wide.select(*[F.col(c).cast("bigint").alias(c) for c in extra]).unpivot([], extra, "column_name", "value")
+    return long.groupBy("column_name").agg(F.count("value").alias("present"), F.count_distinct("value").alias("different"))
+
+
+@query("aligned_scores", with_sql("scored", select="SELECT title_clean, show_title, type_clean, actual, score FROM scored"))
+def aligned_scores(spark, d):
+    """Scores put beside the rows they belong to: aligned by key, as rows of two tables have no common order."""
+    rows = feed(spark, d, "scored")
+    scores = rows.select("title_clean", "score").repartition(F.hash("score"))
+    return joins.inner_join(rows.drop("score"), scores, ["title_clean"], unique_left=True, unique_right=True).select(
+        "title_clean", "show_title", "type_clean", "actual", "score")
