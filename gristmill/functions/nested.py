@@ -1,16 +1,16 @@
 """Python-literal lists stored as text, e.g. ``[{'id': 931, 'name': "toy's"}]``.
 
-These cells are not JSON (None, True, mixed quotes), so they are parsed in
-Arrow batches.  Most cells differ from JSON only in their quotes and constants
-and go through the much faster JSON reader; the rest goes through
-``ast.literal_eval``.  The parsers are built inside functions so that they
-travel to the executors by value.
+These cells are not JSON, but plain ones differ from it in quotes and ``None`` alone: lists of
+flat dicts, texts without escapes, and whole numbers.  One pattern without backtracking
+tells whether a cell is plain; plain cells are respelled as JSON and read by ``from_json``,
+all inside the JVM.  Only the rest (escapes, ``True``, nested values, broken lists) goes to
+``ast.literal_eval`` in Arrow batches, where plain cells are NULL.  The parser is built
+inside a function so that it travels to the executors by value.
 """
 
 from __future__ import annotations
 
 import ast
-import json
 import re
 from collections.abc import Mapping
 
@@ -20,29 +20,48 @@ from pyspark.sql import functions as F
 
 ARROW_TYPES = {"bigint": pa.int64(), "string": pa.string()}
 
+# Parts of plain cells.  Every repetition is possessive: one step a character, no backtracking, no stack.
+_BLANK = r"[ \t\r\n]*+"
+_TEXT = r"""(?:'[^'\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")"""
+_WHOLE = r"(?:0|-?+[1-9][0-9]{0,17}+)"
+_VALUE = rf"(?:{_TEXT}|{_WHOLE}|None)"
+#: A cell that begins like this holds no list.
+_NO_LIST = r"""^(?:[A-Za-z0-9{'"]|$)"""
+#: What stands in every list with an item that is no dict (and in few others).
+_OTHER_ITEM = r"^\[[ \t\r\n]*+[^{\]]|\}[ \t\r\n]*+,[ \t\r\n]*+[^{]"
+#: Marks of a text's ends while the double quotes inside it are escaped; plain cells hold no control characters in texts.
+_BEGIN, _END = "\x01", "\x02"
 
-def _literal_reader():
-    """Function from text to the Python value it spells, or None."""
-    token = re.compile(r"""'([^'\\\n]*)'|"[^"\\\n]*"|[^\W\d]\w*""")
-    constants = {"None": "null", "True": "true", "False": "false"}
 
-    def as_json(match):
-        if match[1] is not None:
-            return '"' + match[1].replace('"', '\\"') + '"'
-        return match[0] if match[0][0] == '"' else constants[match[0]]
+def _listed(item: str) -> str:
+    return rf"{_BLANK}(?:{item}{_BLANK}(?:,{_BLANK}{item}{_BLANK})*+)?+"
+
+
+def _flat_dict(kinds: Mapping[str, str]) -> str:
+    """Pattern of a plain dict; keys that stand for whole numbers have no text as value."""
+    whole = "|".join(re.escape(name) for name, kind in kinds.items() if kind == "bigint")
+    no_text = rf"""(?!(?:'(?:{whole})'|"(?:{whole})"){_BLANK}:{_BLANK}['"])""" if whole else ""
+    return rf"\{{{_listed(rf'{no_text}{_TEXT}{_BLANK}:{_BLANK}{_VALUE}')}\}}"
+
+
+def _plain(column: Column, kinds: Mapping[str, str]) -> Column:
+    return column.rlike(rf"\A\[{_listed(rf'(?:{_flat_dict(kinds)}|{_VALUE})')}\]\z")
 
-    def read(text):
-        if text.startswith("["):
-            try:
-                return json.loads(token.sub(as_json, text))
-            except (KeyError, ValueError, RecursionError):
-                pass  # something JSON cannot spell: escapes, tuples, other names
-        try:
-            return ast.literal_eval(text)
-        except Exception:  # any cell that is not a literal counts as an empty list
-            return None
 
-    return read
+def _respelled(cell: Column) -> Column:
+    """A plain cell, or one whose items were set in brackets, as JSON."""
+    own = F.regexp_replace(cell, r"""'([^']*+)'|"([^"]*+)"|(None)""", f"{_BEGIN}$1$2{_END}$3")
+    for old, new in ((f"{_BEGIN}{_END}None", "null"), ('"', '\\"'), (_BEGIN, '"'), (_END, '"')):
+        own = F.replace(own, F.lit(old), F.lit(new))
+    return own
+
+
+def _plain_items(column: Column, kinds: Mapping[str, str], item_type: str) -> Column:
+    """Items of a plain cell.  Where some may be no dict, each becomes a list of its own, empty if it is none."""
+    missing = F.struct(*(F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()))
+    split = F.regexp_replace(column, rf"({_flat_dict(kinds)})|{_VALUE}", "[$1]")
+    split = F.transform(F.from_json(_respelled(split), f"array<{item_type}>"), lambda x: F.coalesce(F.get(x, F.lit(0)), missing))
+    return F.when(column.rlike(_OTHER_ITEM), split).otherwise(F.from_json(_respelled(column), item_type))
 
 
 def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
@@ -52,7 +71,6 @@ def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
     that is not a dict yields a struct of NULLs, a missing key a NULL field; a
     ``bigint`` that is no whole number raises.
     """
-    read = _literal_reader()
     kinds = dict(fields)
     cell_type = pa.list_(pa.struct([pa.field(name, ARROW_TYPES[kind]) for name, kind in kinds.items()]))
 
@@ -68,7 +86,10 @@ def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
         return number
 
     def parse(text):
-        items = read(text) if text is not None else None
+        try:
+            items = ast.literal_eval(text)
+        except Exception:  # any cell that is not a literal counts as an empty list
+            return []
         if not isinstance(items, list):
             return []
         return [
@@ -76,11 +97,16 @@ def literal_items(column: Column, fields: Mapping[str, str]) -> Column:
             for item in items
         ]
 
-    @F.arrow_udf(f"array<struct<{','.join(f'`{name}`:{kind}' for name, kind in kinds.items())}>>")
+    item_type = f"array<struct<{','.join(f'`{name}`:{kind}' for name, kind in kinds.items())}>>"
+
+    @F.arrow_udf(item_type)
     def parse_batch(cells: pa.Array) -> pa.Array:
-        return pa.array([parse(text) for text in cells.to_pylist()], type=cell_type)
+        return pa.array([None if text is None else parse(text) for text in cells.to_pylist()], type=cell_type)
 
-    return parse_batch(column)
+    rest = F.when(~_plain(column, kinds) & ~column.rlike(_NO_LIST), column)
+    return F.coalesce(
+        parse_batch(rest), F.when(column.startswith("["), _plain_items(column, kinds, item_type)), F.array().cast(item_type)
+    )
 
 
 def first_name(items: Column, name: str = "name") -> Column:

@@ -110,3 +110,45 @@ def test_literal_items_round_trip(spark):
     items = [[{"id": random.randint(-9, 9), "name": random.choice(names)} for _ in range(random.randint(0, 4))] for _ in range(200)]
     got = applied(spark, [repr(i) for i in items], lambda c: nested.literal_items(c, FIELDS))
     assert [[{"id": x["id"], "name": x["name"]} for x in cell] for cell in got] == items
+
+
+PLAIN = [
+    "[]", "[ ]", "[{}]", "[{'id': 1, 'name': 'a'}]", '[{"name": "it\'s", \'id\': -12}]', "[5, None, {'id': None}, 'x']",
+    "[{'name': 'say \"hi\"'}, {'name': 7}]", "[\n{'name' :'é', 'other': 0}\t]",
+]
+NOT_PLAIN = [
+    "[{'id': '7'}]", "[{'id': True}]", r"[{'name': 'it\'s'}]", "[{'name': 'a' 'b'}]", "[{'name': 1.5}]", "[(1, 2)]", "[[1]]", "[1,]",
+    "[{'id': 007}]", "[{'id': 1}]]", "[{'id': 1}], [{'id': 2}]", "[{'id': 1}] x", "[null]", "[{'name': 'tab\there'}]", " [1]", "[-0]",
+    "[{'id': 9999999999999999999}]", "[Nonesuch]", "{'id': 1}", "broken", "",
+]
+
+
+def test_plain_cells_are_told_apart(spark):
+    kinds = {"id": "bigint", "name": "string"}
+    got = applied(spark, PLAIN + NOT_PLAIN, lambda c: nested._plain(c, kinds))
+    assert got == [True] * len(PLAIN) + [False] * len(NOT_PLAIN)
+    # a text is allowed where the field is a text as well
+    assert applied(spark, ["[{'id': '7'}]"], lambda c: nested._plain(c, {"id": "string"})) == [True]
+
+
+def test_plain_cells_read_as_the_literal_parser_reads_them(spark):
+    import ast
+    import random
+
+    random.seed(8)
+    items = [
+        "{'id': 4, 'name': None}", "{'name': \"o'k\", 'id': 9}", "5", "None", "'s'", "{}", "{'id': 2, 'id': 3}", "{ 'id':-12 ,'name':'q\"q' }",
+        "{'name': ''}", "{'name': '}, 5'}", "{'name': '[{'}", "{'name': 7}", "{'NAME': 'x'}",
+    ]
+    cells = ["[" + " , ".join(random.choice(items) for _ in range(random.randint(0, 5))) + "]" for _ in range(300)]
+    cells.append("[" + ", ".join("{'id': %d, 'name': 'n'}" % i for i in range(30_000)) + "]")
+    kinds = {"id": "bigint", "name": "string"}
+    assert all(applied(spark, cells, lambda c: nested._plain(c, kinds)))
+    got = applied(spark, cells, lambda c: nested.literal_items(c, kinds))
+
+    def expected(item):
+        item = item if isinstance(item, dict) else {}
+        name = item.get("name")
+        return item.get("id"), name if name is None else str(name)
+
+    assert [[tuple(item) for item in cell] for cell in got] == [[expected(i) for i in ast.literal_eval(cell)] for cell in cells]
