@@ -19,24 +19,31 @@ from gristmill.operators.joins import attach_group_stats
 from gristmill.scratch import materialize
 
 
-def totals_before(df: DataFrame, groups: Sequence[str], order: Sequence[Column], totals: Mapping[str, str]) -> DataFrame:
-    """Add to each row the sum of a column over the earlier rows of its group.
+def _ranges(df: DataFrame, groups: Sequence[str], order: Sequence[Column], names: Sequence[str]) -> DataFrame:
+    """Rows in sorted ranges: ``__range`` numbers the range, ``__row`` counts on along its rows.
 
-    ``totals`` maps output names to numeric columns.  ``groups`` plus ``order``
-    must be unique, otherwise equal rows could not be spread over ranges.
+    Written once: range bounds come from a sample, so a second evaluation could cut elsewhere.
     """
-    groups = list(groups)
-    taken = {"__range", "__row", "__cell", *totals} & set(df.columns)
+    taken = {"__range", "__row", *names} & set(df.columns)
     if taken:
         raise ValueError(f"column names are needed here: {sorted(taken)}")
     sort = [*[smallest_first(g) for g in groups], *order]
-    # Written once: range bounds come from a sample, so a second evaluation could cut elsewhere.
-    ranges = materialize(
+    return materialize(
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .withColumns({"__range": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}),
         "ranges",
     )
+
+
+def totals_before(df: DataFrame, groups: Sequence[str], order: Sequence[Column], totals: Mapping[str, str]) -> DataFrame:
+    """Add to each row the sum of a column over the earlier rows of its group.
+
+    ``totals`` maps output names to numeric columns.  ``groups`` plus ``order``
+    must be unique, otherwise equal rows could not be spread over ranges.
+    """
+    groups = list(groups)
+    ranges = _ranges(df, groups, order, ["__cell", *totals])
     cells = ranges.groupBy("__range", *groups).agg(*[F.sum(c).alias(name) for name, c in totals.items()])
     earlier = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     # A range can continue one group only, so at most one row per range is left.
@@ -64,9 +71,25 @@ def totals_before(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
 
 
 def positions(df: DataFrame, groups: Sequence[str], order: Sequence[Column], number: str) -> DataFrame:
-    """ROW_NUMBER of every row inside its group; ``order`` ends in a unique column."""
-    counted = totals_before(df.withColumn("__one", F.lit(1)), groups, order, {number: "__one"})
-    return counted.withColumn(number, (F.col(number) + 1).cast("bigint")).drop("__one")
+    """ROW_NUMBER of every row inside its group; ``order`` ends in a unique column.
+
+    Rows of a range are counted already, so a row's number is its place there, less that of the first row of
+    its group in the range, and more by the group's rows in earlier ranges.  One row per range and group tells both; that
+    table is written, so Spark broadcasts it if it is small and joins by range and group if it is not.
+    """
+    groups = list(groups)
+    ranges = _ranges(df, groups, order, [number, "__shift"])
+    earlier = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    cells = ranges.groupBy("__range", *groups).agg(F.min("__row").alias("__first"), F.count("*").alias("__rows"))
+    shift = F.col("__first") - F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - 1
+    cells = cells.select(
+        F.col("__range").alias("__c_range"), *[F.col(g).alias(f"__c_{g}") for g in groups], shift.alias("__shift")
+    )
+    same = F.col("__range") == F.col("__c_range")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
+    placed = ranges.join(materialize(cells, "cells"), same)
+    return placed.select(*df.columns, (F.col("__row") - F.col("__shift")).alias(number))
 
 
 def tiles(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, tile: str) -> DataFrame:

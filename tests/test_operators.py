@@ -224,3 +224,18 @@ def test_shares_and_top_values_read_their_input_once(spark):
     assert aggregates.keep_top_values(df, "g", 2).count() == 50 and read.value == 200
     unique = spark.range(50).selectExpr("id AS g").mapInArrow(seen, "g long")
     assert joins.inner_join(unique, unique, ["g"], unique_left=True).count() == 50 and read.value == 300
+
+
+def test_positions_move_rows_once(spark):
+    """A hot group over many ranges, a null group and many small ones; rows are shuffled by range alone."""
+    values = [(None if i % 7 == 0 else "hot" if i % 3 else f"g{i % 40}", i * 37 % 5000) for i in range(5000)]
+    df = spark.createDataFrame(values, "g string, v int").repartition(6)
+    placed = ordered.positions(df, ["g"], [F.col("v").asc()], "place")
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    expected = {}
+    for g in {g for g, _ in values}:
+        for place, v in enumerate(sorted(v for h, v in values if h == g), 1):
+            expected[g, v] = place
+    assert {(r["g"], r["v"]): r["place"] for r in placed.collect()} == expected
+    assert ordered.positions(df.limit(0), ["g"], [F.col("v").asc()], "place").count() == 0
