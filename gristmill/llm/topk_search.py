@@ -10,8 +10,8 @@ k rows a query, so a value shared by many rows costs no more than another one.
 
 Defined results: vectors that are null, empty of components, or hold a null or a
 non-finite component take no part; shorter vectors count as padded with zeros; rows
-with the query's id are its own; every other row is a candidate, repeated ones each on their own; of several
-vectors under one query id the smallest is asked; fewer candidates than k give all.  Components are
+with the query's id are its own; every other row is a candidate, repeated ones each on their own; every
+asked row is a query of its own, so an id asked by several rows has each rank as often; fewer candidates than k give all.  Components are
 scaled and floored as doubles and must stay below 2**31 in size, else the job fails.
 """
 
@@ -75,49 +75,50 @@ def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return exact.astype(np.int64)
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Number and ids of a query block, the low ends of its ranges, and its scores against one block of rows without the queries' own."""
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Number of a query block, numbers and ids of its queries, the low ends of its ranges, and its scores against one block of rows without the queries' own."""
     for batch in batches:
         for block in batch.to_pylist():
             query_ids, queries = _matrix(block, "q_")
             row_ids, rows = _matrix(block, "")
             low = np.frombuffer(block["lows"], np.int64)[:, None]
             scores = _scores(queries, rows)
-            yield block["q_block"], query_ids, low, scores, row_ids, query_ids[:, None] != row_ids[None, :]
+            numbers = np.frombuffer(block["q_numbers"], np.int64)
+            yield block["q_block"], numbers, query_ids, low, scores, row_ids, query_ids[:, None] != row_ids[None, :]
 
 
 def _histograms(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Rows (query, bin, rows counted), bin BINS standing for everything above the range."""
+    """Rows (number of the query, bin, rows counted), bin BINS standing for everything above the range."""
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def sent(ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    def sent(numbers: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         above = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1] - counts  # in higher bins
         q, b = np.nonzero((counts > 0) & (above < k))
-        return pa.RecordBatch.from_pydict({"query_id": ids[q], "bin": b.astype(np.int32), "n": counts[q, b]})
+        return pa.RecordBatch.from_pydict({"query": numbers[q], "bin": b.astype(np.int32), "n": counts[q, b]})
 
-    for number, ids, low, scores, _, other in _met(batches):
-        if number not in held:
+    for block, numbers, _, low, scores, _, other in _met(batches):
+        if block not in held:
             if len(held) >= 16:
                 yield sent(*held.pop(next(iter(held))))
-            held[number] = (ids, np.zeros((len(ids), BINS + 1), np.int64))
+            held[block] = (numbers, np.zeros((len(numbers), BINS + 1), np.int64))
         bins = np.minimum((scores - low) // width, BINS)
         keep = other & (bins >= 0)
-        cells = (np.arange(len(ids))[:, None] * (BINS + 1) + bins)[keep]
-        held[number][1][:] += np.bincount(cells, minlength=len(ids) * (BINS + 1)).reshape(len(ids), BINS + 1)
-    for ids, counts in held.values():
-        yield sent(ids, counts)
+        cells = (np.arange(len(numbers))[:, None] * (BINS + 1) + bins)[keep]
+        held[block][1][:] += np.bincount(cells, minlength=len(numbers) * (BINS + 1)).reshape(len(numbers), BINS + 1)
+    for numbers, counts in held.values():
+        yield sent(numbers, counts)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Rows with a score of at least the k-th highest, at most k a query and block: highest first, then smallest id."""
-    for _, ids, low, scores, row_ids, other in _met(batches):
+    for _, numbers, ids, low, scores, row_ids, other in _met(batches):
         q, r = np.nonzero(other & (scores >= low))
         found = scores[q, r]
         order = np.lexsort((row_ids[r], -found, q))
         q, r, found = q[order], r[order], found[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
         q, r, found = q[place < k], r[place < k], found[place < k]
-        yield pa.RecordBatch.from_pydict({"query_id": ids[q], "vec_id": row_ids[r], "score": found})
+        yield pa.RecordBatch.from_pydict({"query": numbers[q], "query_id": ids[q], "vec_id": row_ids[r], "score": found})
 
 
 def top_k(rows: DataFrame, asked: Column, k: int = 10, scale: float = 1024.0, id_column: str = "vec_id",
@@ -130,53 +131,54 @@ def top_k(rows: DataFrame, asked: Column, k: int = 10, scale: float = 1024.0, id
     own = own.select(
         F.col(id_column).cast("long").alias("id"),
         F.transform(vector_column, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("vector"), asked.alias("asked"),
-    )
+    ).withColumn("number", F.monotonically_increasing_id())
     own = materialize(own, "topk-vectors")
     blocks = materialize(own.select("id", "vector").mapInArrow(lambda b: _blocks(b, row_block), BLOCK_SCHEMA), "topk-blocks")
-    queries = own.where("asked").groupBy("id").agg(F.min("vector").alias("vector"))
+    queries = own.where("asked").select("number", "id", "vector")
     n_queries = queries.count()
     n_blocks = max(1, math.ceil(n_queries / query_block))
     reach = blocks.agg(F.max("longest")).first()[0]
     if not n_queries or reach is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     half = math.ceil(reach * reach) + 1
-    queries = queries.withColumn("q_block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int"))
+    queries = queries.withColumn("q_block", F.pmod(F.xxhash64("number"), F.lit(n_blocks)).cast("int"))
     width = -(-(2 * half + 1) // BINS)
-    lows = queries.select(F.col("id").alias("query_id"), F.lit(-half).cast("long").alias("low"))
+    lows = queries.select(F.col("number").alias("query"), F.lit(-half).cast("long").alias("low"))
 
     def met(lows: DataFrame) -> DataFrame:
         """Each query block beside each block of rows."""
 
         def packed(key, table):
-            table = table.combine_chunks().sort_by("id")
+            table = table.combine_chunks().sort_by("number")
             block = next(_blocks(iter(table.select(["id", "vector"]).to_batches()), table.num_rows))
             low = table.column("low").to_numpy().astype(np.int64).tobytes()
             return pa.table({
-                "q_block": pa.array([key[0].as_py()], pa.int32()), "q_ids": block.column("ids"), "q_vectors": block.column("vectors"),
+                "q_block": pa.array([key[0].as_py()], pa.int32()),
+                "q_numbers": pa.array([table.column("number").to_numpy().astype(np.int64).tobytes()], pa.binary()), "q_ids": block.column("ids"), "q_vectors": block.column("vectors"),
                 "q_dims": block.column("dims"), "lows": pa.array([low], pa.binary()),
             })
 
-        asked_rows = queries.join(lows, queries["id"] == lows["query_id"]).select("q_block", "id", "vector", "low")
+        asked_rows = queries.join(lows, queries["number"] == lows["query"]).select("q_block", "number", "id", "vector", "low")
         asked_blocks = asked_rows.groupBy("q_block").applyInArrow(
-            packed, "q_block int, q_ids binary, q_vectors binary, q_dims int, lows binary"
+            packed, "q_block int, q_numbers binary, q_ids binary, q_vectors binary, q_dims int, lows binary"
         )
         dealt = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
         return dealt.join(asked_blocks, "q_block")
 
     while True:
-        counted = met(lows).mapInArrow(lambda b, w=width: _histograms(b, k, w), "query_id long, bin int, n long")
-        counted = counted.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
-        higher = Window.partitionBy("query_id").orderBy(F.desc("bin"))
+        counted = met(lows).mapInArrow(lambda b, w=width: _histograms(b, k, w), "query long, bin int, n long")
+        counted = counted.groupBy("query", "bin").agg(F.sum("n").alias("n"))
+        higher = Window.partitionBy("query").orderBy(F.desc("bin"))
         # at most BINS + 1 rows a query; the bin that holds the k-th highest is the first that brings the count to k
         chosen = counted.withColumn("upto", F.sum("n").over(higher)).where(F.col("upto") >= k)
-        chosen = chosen.groupBy("query_id").agg(F.max("bin").alias("bin"))
+        chosen = chosen.groupBy("query").agg(F.max("bin").alias("bin"))
         lows = materialize(
-            lows.join(chosen, "query_id", "left").select("query_id", F.coalesce(F.col("low") + F.col("bin") * F.lit(width), "low").alias("low")),
+            lows.join(chosen, "query", "left").select("query", F.coalesce(F.col("low") + F.col("bin") * F.lit(width), "low").alias("low")),
             "topk-ranges",
         )
         if width == 1:
             break
         width = -(-width // BINS)
-    found = met(lows).mapInArrow(lambda b: _kept(b, k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met(lows).mapInArrow(lambda b: _kept(b, k), "query long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -84,3 +84,13 @@ def test_top_k_of_small_tables(spark):
     assert topk_search.top_k(few.where("vec_id = 3"), F.col("vec_id") % 100 == 0).count() == 0
     with pytest.raises(Exception, match="32 bits"):
         topk_search.top_k(spark.createDataFrame([(0, [1e9])], schema), F.col("vec_id") % 100 == 0)
+
+
+def test_every_row_of_a_repeated_query_id_is_asked(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [1.0, 2.0]), (2, [3.0, 1.0]), (200, [1.0, 1.0]), (200, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted(tuple(r) for r in topk_search.top_k(df, F.col("vec_id") % 100 == 0, k=2, scale=1.0, query_block=2, row_block=2).collect())
+    assert got == sorted([
+        (100, 1, 2, 3), (100, 2, 1, 1), (100, 1, 1, 2), (100, 2, 2, 1),
+        *[(200, 1, 2, 4), (200, 2, 1, 3)] * 2,
+    ])
