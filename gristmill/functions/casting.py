@@ -16,6 +16,7 @@ WHITESPACE = (
 )
 BLANKS = f"[{WHITESPACE}]*"
 NUMBER = rf"^{BLANKS}[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?)){BLANKS}$"
+DIGITS = r"\A[+-]?+[0-9.]++\z"
 DAY = rf"^{BLANKS}\d{{4}}-\d{{1,2}}-\d{{1,2}}{BLANKS}$"
 # Texts that count as true.
 TRUE_TEXTS = ("true", "1", "t", "yes", "y")
@@ -29,11 +30,11 @@ def strip_text(column: Column) -> Column:
 def to_number(column: Column) -> Column:
     """Text to double; NULL unless the whole text is one decimal number or infinity.
 
-    The full shape test is needed only where the text holds letters: a plain cast
-    reads ``'12d'`` as 12 and ``'nan'`` as NaN.
+    Most numbers are digits and points, which a plain cast reads right.  Only other texts are stripped and tested for
+    their full shape: a plain cast reads ``'12d'`` as 12 and ``'nan'`` as NaN.
     """
     text = column.cast("string")
-    return F.when(~text.rlike("[A-Za-z]") | text.rlike(NUMBER), strip_text(text).try_cast("double"))
+    return F.when(text.rlike(DIGITS), text.try_cast("double")).when(text.rlike(NUMBER), strip_text(text).try_cast("double"))
 
 
 def to_real(column: Column) -> Column:
