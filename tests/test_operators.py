@@ -239,3 +239,36 @@ def test_positions_move_rows_once(spark):
             expected[g, v] = place
     assert {(r["g"], r["v"]): r["place"] for r in placed.collect()} == expected
     assert ordered.positions(df.limit(0), ["g"], [F.col("v").asc()], "place").count() == 0
+
+
+def test_wide_correlations_equal_those_of_pairs(spark):
+    import random
+
+    random.seed(4)
+    names = [f"v{i}" for i in range(12)] + ["flat", "empty", "once"]
+    values = [
+        [None if random.random() < 0.2 else 1e6 + i + random.gauss(0, 1) for i in range(12)] + [0.1, None, 3.0 if k == 5 else None]
+        for k in range(300)
+    ]
+    df = spark.createDataFrame(values, ", ".join(f"{n} double" for n in names)).repartition(4)
+    wide = {(r["feature"], r["other"]): r["corr"] for r in aggregates.wide_correlations(df, names).collect()}
+    pairs = {(r["feature"], r["other"]): r["corr"] for r in aggregates.correlations(df, names).collect()}
+    assert wide.keys() == pairs.keys()
+    for pair, value in pairs.items():
+        if {"flat", "empty", "once"} & set(pair):
+            assert wide[pair] is None and value is None
+        else:
+            assert wide[pair] == pytest.approx(value, abs=1e-9)
+    odd = spark.createDataFrame([(1.0, 2.0, None), (float("nan"), 3.0, 1.0), (2.0, 5.0, 2.0), (None, 1.0, 3.0)], "a double, b double, c double")
+    got = {(r["feature"], r["other"]): r["corr"] for r in aggregates.wide_correlations(odd, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] != got["a", "b"] and got["b", "c"] == pytest.approx(-0.5)
+    assert all(r["corr"] is None for r in aggregates.wide_correlations(odd.limit(0), ["a", "b"]).collect())
+
+
+def test_wide_correlations_of_two_hundred_columns(spark):
+    names = [f"v{i}" for i in range(200)]
+    df = spark.range(400).select(*[F.cos(F.col("id") * (i + 1)).alias(n) for i, n in enumerate(names)])
+    got = aggregates.wide_correlations(df, names)
+    assert got.count() == 40_000
+    want = df.agg(F.corr("v3", "v150")).first()[0]
+    assert got.where("feature = 'v3' AND other = 'v150'").first()["corr"] == pytest.approx(want, abs=1e-9)
