@@ -27,14 +27,28 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    step = spark.read.schema(df.schema).parquet(path)
+    step._step_path = path
+    return step
+
+
+def discard(*steps: DataFrame) -> None:
+    """Delete written steps before the end: only those that ``materialize`` returned and whose every reader is itself written."""
+    for step in steps:
+        spark = step.sparkSession
+        _written[spark.sparkContext.applicationId].remove(step._step_path)
+        _delete(spark, [step._step_path])
 
 
 def release(spark: SparkSession) -> int:
     """Delete every step this session has written; call it when the results that read them are stored.  Returns how many."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
+    _delete(spark, paths)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(hadoop).delete(where, True)
-    return len(paths)
