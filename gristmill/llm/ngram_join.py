@@ -7,6 +7,9 @@ ones.  A document offers such a prefix, t = ceil(0.75 size) and l = size / 4 + 1
 
 * documents that share fewer than l tokens with all others together have no candidate
   and drop out before any pair is made;
+* in the lists of an eighth of the tokens each document meets the one in the middle of its
+  copies and is verified against it, which settles most groups of copies; documents that
+  share fewer than l tokens with documents of other groups drop out then;
 * those left have candidates: their prefixes are lengthened to the whole set, which asks
   for ceil(0.75 size) shared tokens, and documents drop out again, also after every round
   of links;
@@ -39,10 +42,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import broadcast_below, chunks, mix, pick, raw_bytes, restored, row_key, with_number
-from gristmill.llm.components import linked_groups, with_payload
+from gristmill.llm.components import connected, first_links, linked_groups, with_payload
 from gristmill.llm.token_lists import BUCKET_TOKENS, PACKED, SHARED, TOKEN_BITS, packed, shared_tokens
 from gristmill.llm.words import shingle_sets
-from gristmill.scratch import materialize
+from gristmill.scratch import discard, materialize
 
 #: Similarity of at least NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 75, 100
@@ -52,6 +55,10 @@ SLACK = 0.25
 MEMBER_BYTES = 6
 CHUNK = 1 << 18
 BROADCAST_ROWS = 1_000_000
+#: Part of the tokens that the first links are looked for in (all tokens of sets smaller than SMALL); all others come in later.
+PART, SMALL = 8, 64
+#: Rounds of ``linked_groups`` after that.
+ROUNDS = 1
 
 
 def set_key(members: np.ndarray) -> int:
@@ -109,6 +116,13 @@ def survivors(shared: DataFrame) -> DataFrame:
     return lists.where(F.col("lists") >= least_shared(F.col("n"))).select("id")
 
 
+def still_open(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """Ids that share at least ``least_shared`` tokens of their prefix with ids of other groups, so may have more links."""
+    own = shared.join(groups.select("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return survivors(own.join(several.select("token"), "token"))
+
+
 def whole_postings(members: DataFrame) -> DataFrame:
     """(token, id, need, spare, size) of whole sets, from (id, value): tokens that several of them have."""
     total = members.agg(F.sum(F.length("value"))).first()[0] or 0
@@ -204,15 +218,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     total = sets.agg(F.sum(F.floor(F.col("n") * (1 - NUMERATOR / DENOMINATOR + SLACK)) + 1)).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     offered = own.select("text").mapInArrow(lambda b: _offered(b, buckets), PACKED)
-    shared = materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED), "shared")
+    shared = materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED).drop("place"), "shared")
     alive = materialize(survivors(shared), "alive")
     classes = sets.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc", "row")).alias("first"), F.min("doc").alias("doc"))
     wanted = alive.join(classes, F.col("id") == F.col("key")).select("id", F.col("first.row").alias("row"))
     wanted = materialize(wanted, "wanted")
     texts = own.withColumn("row", row).join(broadcast_below(wanted, BROADCAST_ROWS), "row").dropDuplicates(["id"])
     members = materialize(texts.select("id", members_column(F.col("text")).alias("value")), "members")
-    postings = materialize(whole_postings(members), "whole-sets")
-    groups = linked_groups(postings, lambda pairs: similar_pairs(pairs, members), (NUMERATOR, DENOMINATOR), overlap=(NUMERATOR, NUMERATOR + DENOMINATOR))
+    verify = lambda pairs: similar_pairs(pairs, members)
+    links = first_links(shared.where((F.col("token") % PART == 0) | (F.col("size") < SMALL)), verify, (NUMERATOR, DENOMINATOR))
+    left = materialize(still_open(shared, connected(links)), "still-open")
+    postings = materialize(whole_postings(members.join(left, "id", "left_semi")), "whole-sets")
+    discard(shared, alive, wanted)
+    overlap = (NUMERATOR, NUMERATOR + DENOMINATOR)
+    groups = linked_groups(postings, verify, (NUMERATOR, DENOMINATOR), ROUNDS, overlap=overlap, links=links)
+    discard(postings, members, left)
     rooted = classes.join(groups, F.col("key") == F.col("id"), "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     named = rooted.join(smallest, "root").select("key", "component", "root")

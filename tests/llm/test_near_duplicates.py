@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.llm import decontaminate, line_dedup, ngram_join, suffix_dedup
+from gristmill.llm import components, decontaminate, line_dedup, ngram_join, suffix_dedup
 from gristmill.llm.components import connected, linked_groups, with_payload
 from gristmill.llm.suffix_order import blind_trie, deep_shallow
 from gristmill.llm.words import shingle_sets
@@ -41,6 +41,29 @@ def test_linked_groups_miss_no_link(spark, rounds):
     assert {r["id"]: r["root"] for r in got.collect()} == {i: groups.find(i) for i in ids if i in groups.above}
 
 
+@pytest.mark.parametrize("asking, rows, counters", [(512, 1_000_000, 4_000_000), (2, 40, 8)])
+def test_met_pairs_count_shared_tokens(spark, monkeypatch, asking, rows, counters):
+    """Sets that lost some tokens of a common one: pairs with enough in common are found, in companies and parts of any size."""
+    for name, value in (("ASKING", asking), ("MET_ROWS", rows), ("COUNTERS", counters)):
+        monkeypatch.setattr(components, name, value)
+    rng = random.Random(9)
+    sets = {i: set(rng.sample(range(f * 100, f * 100 + 24), rng.randint(17, 23))) for f in range(3) for i in range(f * 40, f * 40 + 30)}
+    need = {i: -(-3 * len(own) // 4) for i, own in sets.items()}
+    postings = frame(spark, [(t, i, need[i], need[i] - 1, len(own)) for i, own in sets.items() for t in own], "token long, id long, need long, spare long, size long")
+    linked = {(a, b) for a in sets for b in sets if a < b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])}
+    light = components._lightened(components._open(postings, None))
+    found = [(r["a"], r["b"]) for r in components.met_pairs(light, (3, 4), (3, 7)).collect()]
+    assert len(found) == len(set(found)) and linked <= set(found)
+    assert all(4 * len(sets[a] & sets[b]) >= 2 * len(sets[a] | sets[b]) for a, b in found)
+    groups = Groups()
+    for a, b in linked:
+        groups.join(a, b)
+    some = frame(spark, sorted(linked)[:9], "a long, b long")
+    for links in (None, some):
+        got = linked_groups(postings, lambda pairs: pairs.join(frame(spark, sorted(linked), "a long, b long"), ["a", "b"], "left_semi"), (3, 4), 1, overlap=(3, 7), links=links)
+        assert {r["id"]: r["root"] for r in got.collect()} == {i: groups.find(i) for i in sets if i in groups.above}
+
+
 def test_payload_of_hot_ids(spark):
     pairs = frame(spark, [(1, i) for i in range(2, 60)] + [(70, 71)], "a long, b long")
     payload = frame(spark, [(i, f"v{i}") for i in range(1, 80)], "id long, value string")
