@@ -10,8 +10,9 @@ A call keeps its own position unless something it depends on stands at or after
 it moves to that position, one level further down.  Only such calls take part in the
 rounds, so a recorded conversation costs one, however long it is.
 
-Defined results: several calls under one id are one, the smallest by (position, name,
-arguments, dependencies), and several results the first by (position, content); a call without
+Defined results: of several calls under one id the smallest by (position, name,
+arguments, dependencies) is taken, of several results the first by (position, content), and
+every other one that differs is ``repeated``, a row of its own; a call without
 a result is ``no_result``, a result without a call ``no_call``; null ids link with
 nothing (``no_id``); arguments that are no JSON object are ``invalid``, null ones are an
 empty object; a tool without schema is ``unknown_tool``; a dependency that no call has
@@ -108,6 +109,12 @@ def ordered(calls: DataFrame) -> DataFrame:
     )
 
 
+def _others(rows: DataFrame, kept: DataFrame, value: str) -> DataFrame:
+    """Different rows under one id that are not the one taken; only ids with several rows are joined."""
+    several = kept.where("n > 1").select("conv_id", "call_id", F.col(value).alias("taken"))
+    return rows.join(several, ["conv_id", "call_id"]).where(~F.col(value).eqNullSafe(F.col("taken"))).drop("taken").distinct()
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """(conv_id, call_id, order_position, order_level, status, errors, message) for every call and every result without one.
 
@@ -122,9 +129,15 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     results = pick(results, *keys, "position", "content")
     named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     loose = calls.where(~named)
-    calls = calls.where(named).groupBy(*keys).agg(F.min(F.struct("position", "name", "arguments", "depends_on")).alias("c")).select(*keys, "c.*")
-    calls = materialize(calls, "chat-calls")
-    first = results.where(named).groupBy(*keys).agg(F.min(F.struct("position", "content")).alias("result"), F.count(F.lit(1)).alias("n_results"))
+    one_call, one_result = F.struct("position", "name", "arguments", "depends_on"), F.struct("position", "content")
+    all_calls, all_results = calls.where(named).select(*keys, one_call.alias("c")), results.where(named).select(*keys, one_result.alias("result"))
+    smallest = materialize(all_calls.groupBy(*keys).agg(F.min("c").alias("c"), F.count(F.lit(1)).alias("n")), "chat-calls")
+    first = materialize(all_results.groupBy(*keys).agg(F.min("result").alias("result"), F.count(F.lit(1)).alias("n")), "chat-results")
+    calls = smallest.select(*keys, "c.*")
+    again = _others(all_calls, smallest, "c").select(*keys, "c.*", F.lit(True).alias("__call"), F.lit(True).alias("again")).unionByName(
+        _others(all_results, first, "result").withColumn("again", F.lit(True)), allowMissingColumns=True
+    )
+    first = first.drop("n")
     places = ordered(calls)
     known = calls.select("conv_id", F.col("call_id").alias("dependency"))
     wanted = calls.select(*keys, F.explode("depends_on").alias("dependency"))
@@ -133,7 +146,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
         calls.withColumn("__call", F.lit(True)).join(first.hint("shuffle_hash"), keys, "full")
         .join(places, keys, "left").join(unknown, keys, "left")
         .unionByName(loose.withColumn("__call", F.lit(True)), allowMissingColumns=True)
-        .unionByName(results.where(~named).select(*keys, F.struct("position", "content").alias("result")), allowMissingColumns=True)
+        .unionByName(results.where(~named).select(*keys, one_result.alias("result")), allowMissingColumns=True)
+        .unionByName(again, allowMissingColumns=True)
     )
     linked = linked.join(broadcast_below(tool_schemas(schemas), BROADCAST_TOOLS), F.col("name") == F.col("tool"), "left")
     linked = linked.withColumn("parsed", F.try_parse_json(F.coalesce("arguments", F.lit("{}"))))
@@ -142,15 +156,15 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     errors = F.when(F.col("given").isNull(), F.array(F.lit("arguments are no JSON object"))).when(
         F.col("tool").isNull(), F.array().cast("array<string>")
     ).otherwise(argument_errors(F.col("given"), F.col("types"), F.col("required")))
-    linked = linked.withColumn("errors", F.when(F.col("__call"), errors).otherwise(F.array().cast("array<string>")))
+    linked = linked.withColumn("errors", F.when(F.col("__call") & F.col("again").isNull(), errors).otherwise(F.array().cast("array<string>")))
     status = (
-        F.when(~named, "no_id").when(F.col("__call").isNull(), "no_call").when(F.col("cyclic"), "cycle")
+        F.when(~named, "no_id").when(F.col("again"), "repeated").when(F.col("__call").isNull(), "no_call").when(F.col("cyclic"), "cycle")
         .when(F.col("unknown"), "unknown_dependency").when(F.col("tool").isNull(), "unknown_tool").when(F.size("errors") > 0, "invalid")
         .when(F.col("result").isNull(), "no_result").otherwise("ok")
     )
     # fields in the order of their names; the arguments are JSON already and stay so
     line = F.to_json(F.struct(
-        F.when(F.col("given").isNotNull(), F.col("parsed")).alias("arguments"), F.array_sort("depends_on").alias("depends_on"),
+        F.when(F.col("__call") & F.col("given").isNotNull(), F.col("parsed")).alias("arguments"), F.array_sort("depends_on").alias("depends_on"),
         F.col("call_id").alias("id"), F.col("name"), F.col("result.content").alias("result"),
     ), {"ignoreNullFields": "true"})
     return linked.select(

@@ -53,22 +53,51 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), *tokenizer())
 
 
-#: A user's turn calls ``answer``, the assistant's next turn is the result; a call depends on the user's call two turns before.
+#: A user's turn is a call, the assistant's next turn its result.  What the turns do not hold is derived from the least number n
+#: of characters of a turn: n % 4 = 0 (in turns with turn % 8 < 4) lets a call depend on the user's next one, else that one depends
+#: on it; multiples of 5 give the turn as text, of 7 leave out a parameter, of 11 add one, of 13 name a tool without
+#: schema, of 17 depend on a call that does not exist.
 OP5_SQL = """
-WITH calls AS (
-  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, text FROM conversations WHERE role = 'user'),
+WITH asked AS (
+  SELECT conv_id, turn, text, 'call_' || conv_id || '_' || turn AS call_id,
+    min(coalesce(length(text), 1)) OVER (PARTITION BY conv_id, turn) AS n FROM conversations WHERE role = 'user'),
+turns AS (SELECT conv_id, turn, any_value(n) AS n FROM asked GROUP BY ALL),
+directed AS (
+  SELECT t.conv_id, t.turn, t.n % 4 = 0 AND t.turn % 8 < 4 AND later.turn IS NOT NULL AS waits
+  FROM turns t LEFT JOIN turns later ON later.conv_id = t.conv_id AND later.turn = t.turn + 2),
+placed AS (
+  SELECT d.conv_id, d.turn, d.waits, coalesce(NOT b.waits, false) AS follows,
+    min(CASE WHEN NOT d.waits THEN d.turn END) OVER (PARTITION BY d.conv_id, d.turn % 2 ORDER BY d.turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS place
+  FROM directed d LEFT JOIN directed b ON b.conv_id = d.conv_id AND b.turn = d.turn - 2),
+calls AS (
+  SELECT a.conv_id, a.turn, a.call_id, p.place, CASE WHEN n % 13 = 0 THEN 'search' ELSE 'answer' END AS name, n % 17 = 0 AS lost,
+    '{' || concat_ws(',', CASE WHEN n % 7 <> 0 THEN '"characters":' || length(text) END, CASE WHEN n % 11 = 0 THEN '"extra":true' END,
+      CASE WHEN text IS NOT NULL THEN '"text":' || to_json(text) END, '"turn":' || CASE WHEN n % 5 = 0 THEN '"' || a.turn || '"' ELSE a.turn::VARCHAR END) || '}' AS arguments,
+    concat_ws('; ', CASE WHEN n % 7 = 0 OR text IS NULL THEN 'missing characters' END, CASE WHEN text IS NULL THEN 'missing text' END,
+      CASE WHEN n % 5 = 0 THEN 'type of turn' END, CASE WHEN n % 11 = 0 THEN 'unexpected extra' END) AS wrong,
+    to_json(list_sort(list_filter([
+      CASE WHEN p.follows THEN 'call_' || a.conv_id || '_' || (a.turn - 2) END, CASE WHEN p.waits THEN 'call_' || a.conv_id || '_' || (a.turn + 2) END,
+      CASE WHEN n % 17 = 0 THEN 'call_' || a.conv_id || '_none' END], lambda x: x IS NOT NULL))) AS depends_on,
+    row_number() OVER (PARTITION BY a.conv_id, a.turn ORDER BY to_json(text)) AS number
+  FROM (SELECT DISTINCT * FROM asked) a JOIN placed p ON p.conv_id = a.conv_id AND p.turn = a.turn),
 results AS (
-  SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'assistant'),
+  SELECT DISTINCT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text,
+    dense_rank() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS number FROM conversations WHERE role = 'assistant'),
 linked AS (
-  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.turn) AS order_position,
-    CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'ok' END AS status,
-    CASE WHEN c.call_id IS NULL THEN '{"id":"' || r.call_id || '","result":' || to_json(r.text) || '}'
-    ELSE '{"arguments":{"characters":' || length(c.text) || ',"text":' || to_json(c.text) || ',"turn":' || c.turn || '},"depends_on":['
-      || coalesce('"' || p.call_id || '"', '') || '],"id":"' || c.call_id || '","name":"answer"'
-      || coalesce(',"result":' || to_json(r.text), '') || '}' END AS message
-  FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
-  LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.turn = c.turn - 2)
-SELECT conv_id, call_id, order_position, CAST(0 AS BIGINT) AS order_level, status, '' AS errors, message FROM linked
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.place, r.turn) AS order_position,
+    coalesce((c.place - c.turn) // 2, 0) AS order_level,
+    CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN lost THEN 'unknown_dependency' WHEN name = 'search' THEN 'unknown_tool' WHEN wrong <> '' THEN 'invalid'
+      WHEN r.call_id IS NULL THEN 'no_result' ELSE 'ok' END AS status,
+    CASE WHEN name = 'answer' THEN wrong ELSE '' END AS errors,
+    '{' || concat_ws(',', '"arguments":' || arguments, '"depends_on":' || depends_on, '"id":"' || coalesce(c.call_id, r.call_id) || '"',
+      '"name":"' || name || '"', CASE WHEN r.text IS NOT NULL THEN '"result":' || to_json(r.text) END) || '}' AS message
+  FROM (SELECT * FROM calls WHERE number = 1) c FULL JOIN (SELECT * FROM results WHERE number = 1) r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
+SELECT conv_id, call_id, order_position, CAST(order_level AS BIGINT) AS order_level, status, errors, message FROM linked
+UNION ALL
+SELECT conv_id, call_id, turn, 0, 'repeated', '', '{"arguments":' || arguments || ',"depends_on":' || depends_on || ',"id":"' || call_id || '","name":"' || name || '"}'
+FROM calls WHERE number > 1
+UNION ALL
+SELECT conv_id, call_id, turn, 0, 'repeated', '', '{"id":"' || call_id || '","result":' || to_json(text) || '}' FROM results WHERE number > 1
 UNION ALL
 SELECT conv_id, NULL, turn, 0, 'message', '', '{"content":' || to_json(text) || ',"role":"' || role || '"}'
 FROM conversations WHERE role NOT IN ('user', 'assistant')
@@ -80,11 +109,25 @@ def op5_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     name = lambda turn: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string"))
     asked = turns.where("role = 'user'")
-    before = asked.select("conv_id", (F.col("turn") + 2).alias("turn"), F.lit(True).alias("has_before")).distinct()
-    calls = asked.join(before, ["conv_id", "turn"], "left").select(
-        "conv_id", name(F.col("turn")).alias("call_id"), F.col("turn").alias("position"), F.lit("answer").alias("name"),
-        F.to_json(F.struct("turn", "text", F.length("text").alias("characters"))).alias("arguments"),
-        F.when(F.col("has_before"), F.array(name(F.col("turn") - 2))).alias("depends_on"),
+    known = materialize(asked.groupBy("conv_id", "turn").agg(F.min(F.coalesce(F.length("text"), F.lit(1))).alias("n")), "chat-turns")
+    later = known.select("conv_id", (F.col("turn") - 2).alias("turn"), F.lit(True).alias("has_later"))
+    waits = (F.col("n") % 4 == 0) & (F.col("turn") % 8 < 4) & F.col("has_later").isNotNull()
+    known = known.join(later, ["conv_id", "turn"], "left").select("conv_id", "turn", "n", waits.alias("waits"))
+    before = known.select("conv_id", (F.col("turn") + 2).alias("turn"), (~F.col("waits")).alias("follows"))
+    known = known.join(before, ["conv_id", "turn"], "left")
+    depends_on = F.array(
+        F.when(F.col("follows"), name(F.col("turn") - 2)), F.when(F.col("waits"), name(F.col("turn") + 2)), F.when(F.col("n") % 17 == 0, name(F.lit("none")))
+    )
+
+    def arguments(turn):
+        given = F.when(F.col("n") % 7 != 0, F.length("text")).alias("characters"), F.when(F.col("n") % 11 == 0, True).alias("extra")
+        return F.to_json(F.struct(turn.alias("turn"), "text", *given))
+
+    calls = asked.join(known, ["conv_id", "turn"]).select(
+        "conv_id", name(F.col("turn")).alias("call_id"), F.col("turn").alias("position"),
+        F.when(F.col("n") % 13 == 0, "search").otherwise("answer").alias("name"),
+        F.when(F.col("n") % 5 == 0, arguments(F.col("turn").cast("string"))).otherwise(arguments(F.col("turn"))).alias("arguments"),
+        depends_on.alias("depends_on"),
     )
     results = turns.where("role = 'assistant'").select(
         "conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")

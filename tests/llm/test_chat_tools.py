@@ -33,8 +33,10 @@ def test_statuses_and_canonical_json(spark):
     assert status == {
         (1, "a", 0): "ok", (1, "b", 1): "invalid", (1, "c", 2): "invalid", (1, "d", 3): "unknown_tool", (1, "e", 4): "unknown_dependency",
         (1, "f", 5): "ok", (2, "a", 0): "invalid", (2, "g", 1): "ok", (1, None, 6): "no_id", (None, "a", 6): "no_id", (1, "h", 7): "invalid",
-        (1, "orphan", 4): "no_call", (None, "a", 5): "no_id",
+        (1, "orphan", 4): "no_call", (None, "a", 5): "no_id", (2, "g", 9): "repeated", (1, "a", 9): "repeated",
     }
+    assert got[1, "a", 9]["message"] == '{"id":"a","result":"late"}' and got[1, "orphan", 4]["message"] == '{"id":"orphan","result":"x"}'
+    assert got[2, "g", 9]["message"] == '{"arguments":{},"depends_on":[],"id":"g","name":"add"}' and got[2, "g", 9]["errors"] == []
     assert got[1, "a", 0]["message"] == '{"arguments":{"opts":{"a":[true,null],"b":1},"x":2,"y":1.5},"depends_on":[],"id":"a","name":"add","result":"3.5"}'
     assert got[1, "b", 1]["errors"] == ["missing y", "type of x", "unexpected z"]
     assert got[2, "a", 0]["errors"] == ["missing x", "missing y"]
