@@ -153,17 +153,25 @@ def movies_reduced(spark, d):
     return movies.movies_reduced(raw(spark, d), LINE_ORDER)
 
 
-@query("preload_gate", with_sql(*CLEAN_CTES, select="""
+GATE_SQL = with_sql(*CLEAN_CTES, select="""
 SELECT 'row_count' AS "check", count(*) AS value FROM clean
 UNION ALL SELECT 'duplicate_movie_id', count(*) - count(DISTINCT movie_id) FROM clean
 UNION ALL SELECT 'missing_movie_id', count(*) - count(movie_id) FROM clean
 UNION ALL SELECT 'missing_title', count(*) - count(title) FROM clean
 UNION ALL SELECT 'missing_release_date', count(*) - count(release_date) FROM clean
-UNION ALL SELECT 'invalid_runtime', count(*) FILTER (WHERE runtime <= 0) FROM clean"""))
+UNION ALL SELECT 'invalid_runtime', count(*) FILTER (WHERE runtime <= 0) FROM clean""")
+
+
+@query("preload_gate", GATE_SQL)
 def preload_gate(spark, d):
     return movies.load_gate(clean(spark, d))
 
 
+@query("gated_write", GATE_SQL)
+def gated_write(spark, d):
+    return movies.gated_write(clean(spark, d))[1]
+
+
 @query("first_item", with_sql(LINES, MAIN_KEYWORD, select="SELECT * FROM keywords_clean"))
 def first_item(spark, d):
     return movies.keywords_clean(feed(spark, d, "raw_keywords"), LINE_ORDER)

@@ -166,6 +166,40 @@ def smallest_share(df: DataFrame, group: str, order: Sequence[str], share: float
     return sized.withColumn(flag, F.col("__number") <= F.round(F.col("__rows") * share)).drop("__number", "__rows")
 
 
+def smallest_hashes(df: DataFrame, group: str, digits: str, tie: str, share: float, flag: str, step: int = 4, steps: int = 2) -> DataFrame:
+    """``smallest_share`` by a text of hexadecimal digits, equal ones by ``tie``, without a sort of the rows.
+
+    The last row that gets the flag is looked for in histograms: rows counted by their first ``step`` digits tell in which
+    bucket it stands, those of this bucket by the next ones, and so on.  Only the last bucket's rows, one in
+    16 ** (step * steps) of a group, are put in order.  Counts are combined before the shuffle, a histogram has
+    16 ** step rows a group, and the rows themselves only pass a filter.  The input is written once, as it is read several times.
+    A missing text comes before all others.
+    """
+    rows = materialize(df.withColumn("__hex", F.coalesce(digits, F.lit(""))), "hashed")
+    same = F.col(group).eqNullSafe(F.col("__group"))
+    # of each group: the digits known so far, and which row of theirs is the last one
+    found = rows.groupBy(F.col(group).alias("__group")).agg(F.round(F.count("*") * share).cast("bigint").alias("__wanted"))
+    found = materialize(found.withColumn("__digits", F.lit("")), "wanted")
+    for k in range(1, steps + 1):
+        inside = rows.select(group, F.substring("__hex", 1, step * k).alias("__longer")).join(found, same)
+        inside = inside.where(F.col("__longer").startswith(F.col("__digits")))
+        counts = inside.groupBy("__group", "__longer", "__wanted").agg(F.count("*").alias("__rows"))
+        upto = Window.partitionBy("__group").orderBy("__longer")
+        counts = counts.withColumn("__upto", F.sum("__rows").over(upto)).where("__upto >= __wanted")
+        best = counts.groupBy("__group").agg(F.min(F.struct("__longer", "__upto", "__rows", "__wanted")).alias("__b"))
+        found = materialize(best.select(
+            "__group", (F.col("__b.__wanted") - F.col("__b.__upto") + F.col("__b.__rows")).alias("__wanted"), F.col("__b.__longer").alias("__digits")
+        ), "wanted")
+    last = rows.select(group, "__hex", F.col(tie).alias("__tie")).join(found, same).where(F.col("__hex").startswith(F.col("__digits")))
+    last = last.withColumn("__number", F.row_number().over(Window.partitionBy("__group").orderBy("__hex", "__tie"))).where("__number <= __wanted")
+    last = last.groupBy("__group").agg(F.max(F.struct("__hex", "__tie")).alias("__last"))
+    found = materialize(found.select("__group", "__digits").join(last.withColumnRenamed("__group", "__g"), F.col("__group").eqNullSafe(F.col("__g")), "left").drop("__g"), "last")
+    before = F.col("__hex") < F.col("__digits")
+    taken = before | (F.struct(F.col("__hex"), F.col(tie).alias("__tie")) <= F.col("__last"))
+    flagged = rows.join(found, same, "left").withColumn(flag, F.when(F.col("__last").isNull(), F.coalesce(before, F.lit(False))).otherwise(taken))
+    return flagged.select(*df.columns, flag)
+
+
 def area_under_curve(df: DataFrame, score: str, actual: str, name: str = "auc") -> DataFrame:
     """Exact ROC AUC as one row: the share of (positive, negative) pairs that the score puts in order.
 

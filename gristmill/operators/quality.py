@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gristmill.functions.ordering import largest_first, smallest_first
 from gristmill.operators.cleaning import key_counts, rows_of_duplicated_keys, violates
+from gristmill.scratch import materialize
 
 
 class GateError(ValueError):
@@ -105,6 +106,26 @@ def load_gate(df: DataFrame, key: str, required: Sequence[str], rules: Mapping[s
     return one_row.unpivot([], list(checks), "check", "value")
 
 
+def gated_write(
+    df: DataFrame, key: str, required: Sequence[str], rules: Mapping[str, Column], write: Callable[[DataFrame], DataFrame] = materialize
+) -> tuple[DataFrame, DataFrame]:
+    """``write`` the table and check it on the way: what was written, and the rows of ``load_gate``.
+
+    All counts but that of repeated keys are observed while the rows pass into the write, so the input is evaluated once.
+    Repeated keys are counted over the key column of the written table.
+    """
+    counts = {
+        "row_count": F.count("*"),
+        **{f"missing_{c}": F.count_if(F.col(c).isNull()) for c in required},
+        **{f"invalid_{name}": F.count_if(violates(rule)) for name, rule in rules.items()},
+    }
+    seen = Observation()
+    written = write(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+    repeats = written.groupBy(key).agg((F.count("*") - 1).alias("more")).agg(F.coalesce(F.sum("more"), F.lit(0)).cast("bigint")).first()[0]
+    values = {"row_count": seen.get["row_count"], f"duplicate_{key}": repeats, **seen.get}
+    return written, df.sparkSession.createDataFrame(list(values.items()), "check string, value bigint")
+
+
 def require_gate(gate: DataFrame) -> None:
     """Raise when any check other than the row count is not zero."""
     failed = {r["check"]: r["value"] for r in gate.collect() if r["check"] != "row_count" and r["value"]}

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions.ordering import largest_first
-from gristmill.operators.ordered import positions, smallest_share
+from gristmill.operators.ordered import positions, smallest_hashes
 from gristmill.operators.quality import union_all
 from gristmill.plans.evaluation import metric_row
 from gristmill.scratch import materialize
@@ -72,7 +72,7 @@ def split(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, exact: boo
     row: no shuffle, and the share is met up to chance.
     """
     if exact:
-        flagged = smallest_share(df.withColumn("__hash", key_hash(seed)), TARGET, ["__hash", KEY], share, "__test").drop("__hash")
+        flagged = smallest_hashes(df.withColumn("__hash", key_hash(seed)), TARGET, "__hash", KEY, share, "__test").drop("__hash")
     else:
         flagged = df.withColumn("__test", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed)), F.lit(10_000)) < round(share * 10_000))
     return flagged.withColumn("split", F.when(F.col("__test"), "test").otherwise("train")).drop("__test")

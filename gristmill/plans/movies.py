@@ -88,9 +88,16 @@ def movies_reduced(raw: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def load_gate(clean: DataFrame) -> DataFrame:
     """Checks on the clean table before it is stored."""
-    return quality.load_gate(
-        clean, "movie_id", ["movie_id", "title", "release_date"], {"runtime": F.col("runtime") <= 0}
-    )
+    return quality.load_gate(clean, *_gate())
+
+
+def gated_write(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The clean table, written, and the same checks, taken in the pass that writes it."""
+    return quality.gated_write(clean, *_gate())
+
+
+def _gate() -> tuple:
+    return "movie_id", ["movie_id", "title", "release_date"], {"runtime": F.col("runtime") <= 0}
 
 
 def with_movie_id(raw: DataFrame) -> DataFrame:

@@ -68,6 +68,38 @@ def test_smallest_share_takes_the_exact_share(skewed):
     assert all(r["k"] == int(r["n"] * 0.25 + 0.5) for r in got)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.25, 0.6, 1.0])
+def test_smallest_hashes_equal_sorted_rows(spark, share):
+    rows = [(None if i % 11 == 0 else i % 3, i, None if i == 40 else f"{(i // 2 * 7919) % 4096:03x}") for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, id int, h string")
+    got = {r["id"]: r["t"] for r in ordered.smallest_hashes(df, "g", "h", "id", share, "t", step=1).collect()}
+    want = {}
+    for g in (None, 0, 1, 2):
+        own = sorted((h or "", i) for x, i, h in rows if x == g)
+        want |= {i: n < int(len(own) * share + 0.5) for n, (_, i) in enumerate(own)}
+    assert got == want
+    assert ordered.smallest_hashes(df.limit(0), "g", "h", "id", share, "t").count() == 0
+
+
+def test_gated_write_equals_the_gate_and_reads_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = [(i % 7 or None, None if i % 5 == 0 else "x", i - 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, name string, n int")
+    gate = (["k", "name"], {"n": F.col("n") <= 0})
+    written, checks = quality.gated_write(df.mapInArrow(counted, df.schema), "k", *gate)
+    same(checks, quality.load_gate(df, "k", *gate))
+    same(written, df)
+    assert reads.value == 40
+    with pytest.raises(quality.GateError):
+        quality.require_gate(checks)
+
+
 def test_auc_matches_pair_count(spark):
     scores = [(0.1, 0), (0.4, 0), (0.4, 1), (0.8, 1), (0.8, 1), (0.8, 0), (0.9, 1)]
     df = spark.createDataFrame(scores, "s double, y int")
