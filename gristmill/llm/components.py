@@ -54,10 +54,11 @@ def _open(own: DataFrame, groups: DataFrame | None) -> DataFrame:
     Ids of different groups share at least their ``need`` of tokens, and every list that holds both is a list of several
     groups.  So other lists go, and then ids that stand in fewer than ``need`` of the rest.
     """
-    own = own.drop("root", "df", "lists", "weight")
-    own = own.withColumn("root", F.col("id")) if groups is None else own.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    lists = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("df")).where("low < high")
-    own = own.join(lists.select("token", "df"), "token")
+    if groups is not None or "df" not in own.columns:
+        own = own.drop("root", "df", "lists", "weight")
+        own = own.withColumn("root", F.col("id")) if groups is None else own.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        lists = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("df")).where("low < high")
+        own = own.join(lists.select("token", "df"), "token")
     enough = own.groupBy("id").agg(
         F.count(F.lit(1)).alias("lists"), F.first("need").alias("least"), (F.sum("df") / F.first("size")).alias("weight")
     ).where("lists >= least")
@@ -188,6 +189,7 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     of the larger, their marks are ``close``, and, with ``overlap``, they share that part of the sum of their sizes, which
     neither can if it stands in fewer lists; ``spare`` is less than ``need``.  ``verify`` takes pairs (a < b) and returns
     those that are linked.  ``links`` (a, b) are links known before; the postings of ids that they settle may be missing.
+    Postings may have their groups by these links, ``root``, and the numbers of ids of their lists, ``df``, already.
 
     Rounds: in every token's list the ids meet one id of it, another one each round, and each id tries the one it meets
     most often outside its group; what is verified joins groups.  That takes a pair an id and round and settles groups of copies.  At last
@@ -198,7 +200,7 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     counted in companies of ids (``met_pairs``), else by a join of the lists.
     """
     groups = None if links is None else connected(links)
-    own = _open(postings, groups)
+    own = _open(postings, None if "df" in postings.columns else groups)
     links = own.sparkSession.createDataFrame([], "a long, b long") if links is None else links
 
     for number in range(rounds):

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.common import broadcast_below, chunks, mix, pick, raw_bytes, restored, row_key, with_number
 from gristmill.llm.components import connected, first_links, linked_groups, with_payload
-from gristmill.llm.token_lists import BUCKET_TOKENS, PACKED, SHARED, TOKEN_BITS, packed, shared_tokens
+from gristmill.llm.token_lists import BUCKET_TOKENS, PACKED, SHARED, TOKEN_BITS, known_tokens, packed, shared_tokens, spread
 from gristmill.llm.words import shingle_sets
 from gristmill.scratch import discard, materialize
 
@@ -107,7 +107,7 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
                     sizes.append(n)
             if not keys:
                 continue
-            yield from packed(np.concatenate(tokens), np.concatenate(own), np.concatenate(place), keys, sizes, buckets)
+            yield from spread(np.concatenate(tokens), np.concatenate(own), np.concatenate(place), keys, sizes, buckets)
 
 
 def survivors(shared: DataFrame) -> DataFrame:
@@ -123,31 +123,55 @@ def still_open(shared: DataFrame, groups: DataFrame) -> DataFrame:
     return survivors(own.join(several.select("token"), "token"))
 
 
+def numbered(ids: DataFrame, groups: DataFrame) -> DataFrame:
+    """(id, number, root): short numbers for ``ids``, and the least number of each one's group."""
+    own = ids.join(groups.select("id", "root"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    own = materialize(own.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    least = own.groupBy("root").agg(F.min("number").alias("least"))
+    return materialize(own.join(least, "root").select("id", "number", F.col("least").alias("root")), "still-open")
+
+
 def whole_postings(members: DataFrame) -> DataFrame:
-    """(token, id, need, spare, size) of whole sets, from (id, value): tokens that several of them have."""
+    """(token, id, need, spare, size, root, df) of whole sets, from (id, value, root): tokens that several groups have, and how many ids."""
     total = members.agg(F.sum(F.length("value"))).first()[0] or 0
     buckets = max(1, math.ceil(total / MEMBER_BYTES / BUCKET_TOKENS))
 
     def offered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("id").to_pylist(), raw_bytes(batch.column("value")))
-            for part in chunks((Named(raw, name) for name, raw in rows), 32 * CHUNK):
+            rows = zip(batch.column("id").to_pylist(), batch.column("root").to_pylist(), raw_bytes(batch.column("value")))
+            for part in chunks((Named(raw, (name, root)) for name, root, raw in rows), 32 * CHUNK):
                 sets = [_members(raw) >> np.uint64(64 - TOKEN_BITS) for raw in part]
                 own = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
-                yield from packed(np.concatenate(sets), own, np.zeros(len(own), np.uint32), [r.name for r in part], [len(s) for s in sets], buckets)
+                facts = [(len(s), raw.name[1]) for s, raw in zip(sets, part)]
+                yield from packed(np.concatenate(sets), own, np.zeros(len(own), np.uint32), [raw.name[0] for raw in part], facts, buckets)
 
-    shared = members.mapInArrow(offered, PACKED).groupBy("bucket").applyInArrow(shared_tokens, SHARED)
+    shared = members.mapInArrow(offered, PACKED).groupBy("bucket").applyInArrow(open_tokens, "token long, id long, size long, root long, df long")
 
     def needed(size: Column) -> Column:
         return F.ceil(size * NUMERATOR / F.lit(DENOMINATOR))
 
-    return shared.select("token", "id", needed(F.col("size")).alias("need"), (needed(F.col("size")) - 1).alias("spare"), "size")
+    return shared.select("token", "id", needed(F.col("size")).alias("need"), (needed(F.col("size")) - 1).alias("spare"), "size", "root", "df")
+
+
+def open_tokens(key, table):
+    """``shared_tokens`` that ids of several groups have, with the groups and the number of ids; ``sizes`` holds (size, root)."""
+    facts = [np.frombuffer(raw, np.int64).reshape(-1, 2) for raw in table.column("sizes").to_pylist()]
+    begins = np.cumsum([0] + [len(f) for f in facts])
+    rows = pa.array([np.arange(a, b).tobytes() for a, b in zip(begins[:-1], begins[1:])], pa.binary())
+    shared = shared_tokens(key, table.set_column(table.schema.get_field_index("sizes"), "sizes", rows))
+    token, name, row = (shared.column(c).to_numpy() for c in ("token", "id", "size"))
+    size, root = np.concatenate(facts)[row].T
+    begin = np.flatnonzero(np.diff(token, prepend=~token[:1]))
+    counts = np.diff(np.append(begin, len(token)))
+    several = np.minimum.reduceat(root, begin) < np.maximum.reduceat(root, begin) if len(begin) else np.zeros(0, bool)
+    stays, df = np.repeat(several, counts), np.repeat(counts, counts)
+    return pa.table({"token": token[stays], "id": name[stays], "size": size[stays], "root": root[stays], "df": df[stays]})
 
 
 class Named(bytes):
-    """Bytes with the id they belong to."""
+    """Bytes with the id and the group they belong to."""
 
-    def __new__(cls, raw: bytes, name: int):
+    def __new__(cls, raw: bytes, name: tuple):
         own = super().__new__(cls, raw)
         own.name = name
         return own
@@ -218,21 +242,27 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     total = sets.agg(F.sum(F.floor(F.col("n") * (1 - NUMERATOR / DENOMINATOR + SLACK)) + 1)).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
     offered = own.select("text").mapInArrow(lambda b: _offered(b, buckets), PACKED)
-    shared = materialize(offered.groupBy("bucket").applyInArrow(shared_tokens, SHARED).drop("place"), "shared")
+    shared = materialize(offered.groupBy("bucket").applyInArrow(lambda key, table: known_tokens(key, table, buckets), SHARED).drop("place"), "shared")
     alive = materialize(survivors(shared), "alive")
     classes = sets.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc", "row")).alias("first"), F.min("doc").alias("doc"))
     wanted = alive.join(classes, F.col("id") == F.col("key")).select("id", F.col("first.row").alias("row"))
     wanted = materialize(wanted, "wanted")
     texts = own.withColumn("row", row).join(broadcast_below(wanted, BROADCAST_ROWS), "row").dropDuplicates(["id"])
     members = materialize(texts.select("id", members_column(F.col("text")).alias("value")), "members")
-    verify = lambda pairs: similar_pairs(pairs, members)
-    links = first_links(shared.where((F.col("token") % PART == 0) | (F.col("size") < SMALL)), verify, (NUMERATOR, DENOMINATOR))
-    left = materialize(still_open(shared, connected(links)), "still-open")
-    postings = materialize(whole_postings(members.join(left, "id", "left_semi")), "whole-sets")
-    discard(shared, alive, wanted)
+    small, ratio = (F.col("token") % PART == 0) | (F.col("size") < SMALL), (NUMERATOR, DENOMINATOR)
+    links = first_links(shared.where(small), lambda pairs: similar_pairs(pairs, members), ratio)
+    groups = connected(links)
+    left = numbered(still_open(shared, groups), groups)
+    of_left = materialize(members.join(left, "id").select(F.col("number").alias("id"), "value", "root"), "open-members")
+    discard(shared, alive, wanted, members)
+    postings = materialize(whole_postings(of_left), "whole-sets")
+    known = left.where("number <> root").select(F.col("number").alias("a"), F.col("root").alias("b"))
     overlap = (NUMERATOR, NUMERATOR + DENOMINATOR)
-    groups = linked_groups(postings, verify, (NUMERATOR, DENOMINATOR), ROUNDS, overlap=overlap, links=links)
-    discard(postings, members, left)
+    more = linked_groups(postings, lambda pairs: similar_pairs(pairs, of_left.select("id", "value")), ratio, ROUNDS, overlap=overlap, links=known)
+    discard(postings, of_left)
+    a, b = (left.select(F.col("number").alias(f"n{side}"), F.col("id").alias(side)) for side in "ab")
+    more = more.join(a, F.col("id") == F.col("na")).drop("id").join(b, F.col("root") == F.col("nb")).select("a", "b")
+    groups = connected(links.unionByName(more))
     rooted = classes.join(groups, F.col("key") == F.col("id"), "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     named = rooted.join(smallest, "root").select("key", "component", "root")

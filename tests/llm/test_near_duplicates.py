@@ -4,10 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.llm import components, decontaminate, line_dedup, ngram_join, suffix_dedup
+from gristmill.llm import components, decontaminate, line_dedup, ngram_join, suffix_dedup, token_lists
 from gristmill.llm.components import connected, linked_groups, with_payload
 from gristmill.llm.suffix_order import blind_trie, deep_shallow
 from gristmill.llm.words import shingle_sets
@@ -64,6 +65,31 @@ def test_met_pairs_count_shared_tokens(spark, monkeypatch, asking, rows, counter
         assert {r["id"]: r["root"] for r in got.collect()} == {i: groups.find(i) for i in sets if i in groups.above}
 
 
+def test_hot_tokens_take_many_buckets():
+    """A token that a third of 9,000 ids have: no bucket holds most of its rows, and all shared tokens come back."""
+    rng, buckets, chunks = random.Random(3), 4, []
+    for c in range(18):
+        rows = [(7 if i % 3 == 0 else rng.randrange(1 << 40), c * 500 + i) for i in range(500)]
+        rows += [(1 << 39, c * 500)] if c in (2, 9) else []
+        chunks.append(rows + ([(11, c * 500 + i) for i in range(70)] if c == 5 else [(11, 3000)] if c == 6 else []))
+    groups = {}
+    for rows in chunks:
+        ids = sorted({i for _, i in rows})
+        token, own = np.array([t for t, _ in rows], np.uint64), np.array([ids.index(i) for _, i in rows], np.uint32)
+        for batch in token_lists.spread(token, own, np.zeros(len(rows), np.uint32), ids, [1] * len(ids), buckets):
+            groups.setdefault(batch.column("bucket")[0].as_py(), []).append(batch)
+    out, largest = set(), 0
+    for bucket, batches in groups.items():
+        got = token_lists.known_tokens((pa.scalar(bucket),), pa.Table.from_batches(batches), buckets).to_pylist()
+        out |= {(r["token"], r["id"]) for r in got}
+        largest = max(largest, sum(r["token"] == 7 for r in got))
+    lists = {}
+    for token, i in {x for rows in chunks for x in rows}:
+        lists.setdefault(token, set()).add(i)
+    assert out == {(t, i) for t, own in lists.items() if len(own) > 1 for i in own}
+    assert largest < 3000 / 3
+
+
 def test_payload_of_hot_ids(spark):
     pairs = frame(spark, [(1, i) for i in range(2, 60)] + [(70, 71)], "a long, b long")
     payload = frame(spark, [(i, f"v{i}") for i in range(1, 80)], "id long, value string")
