@@ -1,4 +1,7 @@
+from pyspark.sql import functions as F
+
 from checks import bindings
+from gristmill import session
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -11,3 +14,28 @@ def test_parts_of_a_table_grow_with_its_rows(spark, monkeypatch):
     table = bindings.table(spark, SMALL, "lineitem")
     assert table.rdd.getNumPartitions() == -(-rows.count() // 500) > cores
     assert table.exceptAll(rows).isEmpty() and table.count() == rows.count()
+
+
+def test_rows_of_a_key_meet_in_one_task_of_a_run(spark, monkeypatch):
+    def tasks_of_a_key():
+        placed = bindings.table(spark, SMALL, "lineitem").withColumn("task", F.spark_partition_id())
+        keys = placed.groupBy("l_orderkey").agg(F.count_distinct("task").alias("n"), F.count("*").alias("rows"))
+        return keys.agg(F.max("n"), F.max("rows")).first()
+
+    most, repeats = tasks_of_a_key()
+    assert most == 1 < repeats
+    monkeypatch.setattr(bindings, "RUN_ROWS", 1)  # a key that fills whole runs is spread all the same
+    assert tasks_of_a_key()[0] > 1
+
+
+def test_parts_of_shuffles_grow_with_the_rows(spark):
+    parts = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(parts)
+    try:
+        session.fit_shuffles(spark, 10 * session.ROWS_A_PART)
+        assert int(spark.conf.get(parts)) == max(10, int(own))
+        session.fit_shuffles(spark, 100 * session.ROWS_A_PART + 1)
+        session.fit_shuffles(spark, 1)
+        assert int(spark.conf.get(parts)) == 101
+    finally:
+        spark.conf.set(parts, own)
