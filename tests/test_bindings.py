@@ -39,3 +39,16 @@ def test_parts_of_shuffles_grow_with_the_rows(spark):
         assert int(spark.conf.get(parts)) == 101
     finally:
         spark.conf.set(parts, own)
+
+
+def test_keyword_numbers_are_worked_out_once_a_row(spark, capsys):
+    feed = bindings.feed(spark, SMALL, "raw_keywords")
+    plain = bindings.table(spark, SMALL, "lineitem").selectExpr(*bindings.FEEDS["raw_keywords"][1])
+    feed.explain()
+    assert capsys.readouterr().out.count(" < 10.0)") == 1
+    assert feed.schema == plain.schema and feed.exceptAll(plain).isEmpty() and plain.exceptAll(feed).isEmpty()
+
+
+def test_methods_stay_small_enough_to_be_compiled(spark):
+    bindings.table(spark, SMALL, "orders")
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
