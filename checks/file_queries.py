@@ -165,10 +165,10 @@ def raw_lag_by_flag(spark, d):
 
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice")
     groups, order = ["l_returnflag"], [F.asc(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    rows = windows.neighbours(rows, groups, order, "l_extendedprice", previous="previous", following="following")
-    rows = windows.running(rows, groups, order, "l_linenumber", "so_far")
-    rows = windows.moving(rows, groups, order, "l_extendedprice", 5, {"low": "min", "high": "max"})
-    return windows.ends_of_series(rows, groups, order, "l_extendedprice", "first_price", "last_price").drop("l_partkey", "l_suppkey")
+    price = "l_extendedprice"
+    frames = {"previous": ("max", price, -1, -1), "following": ("max", price, 1, 1), "low": ("min", price, -4, 0), "high": ("max", price, -4, 0)}
+    rows = windows.along(rows, groups, order, frames, {"so_far": "l_linenumber"}, {price: ("first_price", "last_price")})
+    return rows.drop("l_partkey", "l_suppkey")
 
 
 @query("weekly_text_dates", with_sql("weekly_text", select="SELECT CAST(week AS DATE) AS week, count(*) AS lines FROM weekly_text GROUP BY 1"))

@@ -10,7 +10,7 @@ or the whole table as one, is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -77,6 +77,10 @@ def _in_blocks(df: DataFrame, groups: Sequence[str], order: Sequence[Column], be
     The ``before`` last rows of a block stand again in front of the next one, the ``after`` first behind the one before;
     ``__own`` tells a block's rows from such copies.
     """
+    return _dealt(positions(df, groups, order, "__at"), before, after), _block_window(groups)
+
+
+def _dealt(numbered: DataFrame, before: int, after: int) -> DataFrame:
     if max(before, after) > BLOCK_ROWS:
         raise ValueError(f"a frame may reach over {BLOCK_ROWS} rows")
     place = F.col("__at") - 1
@@ -84,8 +88,11 @@ def _in_blocks(df: DataFrame, groups: Sequence[str], order: Sequence[Column], be
     homes = F.array_compact(F.array(
         block, F.when(inside >= BLOCK_ROWS - before, block + 1), F.when((inside < after) & (block > 0), block - 1)
     ))
-    dealt = positions(df, groups, order, "__at").withColumn("__block", F.explode(homes)).withColumn("__own", F.col("__block") == block)
-    return dealt, Window.partitionBy(*groups, "__block").orderBy("__at")
+    return numbered.withColumn("__block", F.explode(homes)).withColumn("__own", F.col("__block") == block)
+
+
+def _block_window(groups: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*groups, "__block").orderBy("__at")
 
 
 def _own_rows(df: DataFrame) -> DataFrame:
@@ -149,3 +156,58 @@ def moving(
     dealt, window = _in_blocks(df, groups, order, rows - 1, 0)
     frame = window.rowsBetween(1 - rows, Window.currentRow)
     return _own_rows(dealt.withColumns({out: getattr(F, name)(value).over(frame) for out, name in functions.items()}))
+
+
+def along(
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[Column],
+    frames: Mapping[str, tuple[str, str, int, int]],
+    totals: Mapping[str, str] = {},
+    ends: Mapping[str, tuple[str, str]] = {},
+) -> DataFrame:
+    """Several looks along one series, for which the rows are sorted, numbered and dealt to blocks once; ``order`` is unique.
+
+    ``frames`` maps output names to (avg, min, max, sum or count, column, first row, last row), the rows counted from
+    the current one: ``("max", "x", -1, -1)`` is the previous value.  ``totals`` maps names of running sums to their columns,
+    ``ends`` columns to the names of their first and last value.  Sums and ends of whole blocks come from one
+    short row a block, so the rows themselves pass one shuffle for their numbers and one for the blocks.
+    """
+    groups = list(groups)
+    numbered = positions(df, groups, order, "__at")
+    window = _block_window(groups)
+    before = max([0, *(-first for _, _, first, _ in frames.values())])
+    after = max([0, *(last for _, _, _, last in frames.values())])
+    dealt = _dealt(numbered, before, after)
+    # copies of other blocks' rows count in frames only
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    looks = {out: getattr(F, name)(c).over(window.rowsBetween(first, last)) for out, (name, c, first, last) in frames.items()}
+    looks |= {out: F.sum(F.when(F.col("__own"), F.col(c))).over(so_far) for out, c in totals.items()}
+    looked = dealt.withColumns(looks).where("__own")
+    if not (totals or ends):
+        return _own_rows(looked)
+
+    blocks = numbered.groupBy(*groups, F.floor((F.col("__at") - 1) / BLOCK_ROWS).alias("__block"))
+    blocks = blocks.agg(
+        F.count("*").alias("__rows"),
+        *[F.sum(c).alias(f"__sum_{out}") for out, c in totals.items()],
+        *[F.min_by(c, "__at").alias(first) for c, (first, _) in ends.items()],
+        *[F.max_by(c, "__at").alias(last) for c, (_, last) in ends.items()],
+    )
+    in_group = Window.partitionBy(*groups).orderBy("__block")
+    earlier = in_group.rowsBetween(Window.unboundedPreceding, -1)
+    every = in_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = blocks.select(
+        *[F.col(c).alias(f"__c_{c}") for c in [*groups, "__block"]],
+        *[F.sum(f"__sum_{out}").over(earlier).alias(f"__before_{out}") for out in totals],
+        *[F.first(first).over(every).alias(first) for first, _ in ends.values()],
+        *[F.last(last).over(every).alias(last) for _, last in ends.values()],
+    )
+    same = F.col("__block") == F.col("__c___block")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
+    joined = looked.join(materialize(known, "blocks"), same)
+    # NULL until the first value, as SUM is
+    added = {out: F.coalesce(F.col(out) + F.col(f"__before_{out}"), F.col(out), F.col(f"__before_{out}")) for out in totals}
+    dropped = [f"__c_{c}" for c in [*groups, "__block"]] + [f"__before_{out}" for out in totals]
+    return _own_rows(joined.withColumns(added).drop(*dropped))

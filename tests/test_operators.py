@@ -243,6 +243,26 @@ def test_neighbours_and_frames_equal_windows(spark, monkeypatch, groups):
         windows.moving(df, groups, order, "v", 20, {"m": "max"})
 
 
+@pytest.mark.parametrize("groups", [["g"], []])
+def test_looks_along_a_series_equal_windows_and_number_the_rows_once(spark, monkeypatch, groups):
+    monkeypatch.setattr(windows, "BLOCK_ROWS", 7)
+    numbered = []
+    monkeypatch.setattr(windows, "positions", lambda *a, own=windows.positions: numbered.append(a) or own(*a))
+    df = spark.range(200).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'a' ELSE 'b' END AS g",
+                                     "CASE WHEN id % 5 > 0 AND id > 30 THEN id * 37 % 41 END AS v").repartition(4)
+    whole = Window.partitionBy(*groups).orderBy("id")
+    ends = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    frames = {"p": ("max", "v", -1, -1), "f": ("max", "v", 1, 1), "m": ("min", "v", -4, 0), "n": ("count", "v", -2, 3)}
+    got = windows.along(df, groups, [F.asc("id")], frames, {"s": "v"}, {"v": ("a", "z")})
+    same(got, df.withColumns({
+        "p": F.lag("v").over(whole), "f": F.lead("v").over(whole), "m": F.min("v").over(whole.rowsBetween(-4, 0)),
+        "n": F.count("v").over(whole.rowsBetween(-2, 3)), "s": F.sum("v").over(whole.rowsBetween(Window.unboundedPreceding, 0)),
+        "a": F.first("v").over(ends), "z": F.last("v").over(ends),
+    }))
+    assert len(numbered) == 1
+    same(windows.along(df, groups, [F.asc("id")], {"p": ("max", "v", -1, -1)}), df.withColumn("p", F.lag("v").over(whole)))
+
+
 def test_shares_and_top_values_read_their_input_once(spark):
     read = spark.sparkContext.accumulator(0)
 
