@@ -45,8 +45,8 @@ def read_csv(
     ``columns`` selects by header name.  ``header`` gives the names of the header
     line, so that no file is opened before the query runs.  ``file_order`` adds the
     columns of ``FILE_ORDER``.  ``multi_line`` allows quoted line breaks.  With
-    ``split`` each block of a file is a task of its own; quotes may then stand
-    around whole fields only.  Without it one task reads a whole file, and
+    ``split`` each block of a file is a task of its own, so their number grows with the file and ``parts`` is not
+    needed; quotes may then stand around whole fields only.  Without it one task reads a whole file, and
     ``parts`` deals its rows out before they are parsed further.  Charsets beyond
     the built-in ones need the session setting of ``session.SETTINGS``.
     """
@@ -57,7 +57,7 @@ def read_csv(
         every = list(header or reader.csv(path).columns)
         found = records(spark, path, java_charset).where("file_block <> 0 OR file_row <> 0")
         raw = found.select(*FILE_ORDER, fields(F.col("record"), every).alias("__record")).select(*FILE_ORDER, *(F.col(f"__record.`{c}`") for c in every))
-        return _cleaned(raw, list(columns or every), missing_texts, date_columns, [F.col(c) for c in FILE_ORDER] if file_order else [], parts)
+        return _cleaned(raw, list(columns or every), missing_texts, date_columns, [F.col(c) for c in FILE_ORDER] if file_order else [], None)
     if header:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in header]))
     raw = reader.csv(path)

@@ -104,3 +104,13 @@ def test_no_shuffle_of_the_lines(spark, tmp_path):
     path = write(tmp_path / "rows.csv", rows_of(20))
     plan = quoted_csv.records(spark, path, "UTF-8").where(F.col("file_row") >= 0)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_of_blocks_are_not_dealt_out_to_a_fixed_number_of_parts(spark, tmp_path, capsys):
+    path = files.export_csv(spark.range(100).selectExpr("id", "'a' || chr(10) || id AS t"), str(tmp_path / "many"))
+    read = files.read_csv(spark, path, parts=2)
+    read.explain()
+    assert "REPARTITION_BY_NUM" not in capsys.readouterr().out
+    assert read.count() == 100
+    files.read_csv(spark, path, split=False, parts=2).explain()
+    assert "REPARTITION_BY_NUM" in capsys.readouterr().out
