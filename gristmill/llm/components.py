@@ -39,7 +39,8 @@ def connected(edges: DataFrame) -> DataFrame:
     with many neighbours is never gathered.
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    current, before, state = materialize(_to_smallest(both), "edges"), None, ()
+    current, before = materialize(_to_smallest(both), "edges"), None
+    state = _state(current)
     while state != before:
         last, current = current, materialize(_to_smallest(current), "edges")
         discard(last)
@@ -68,11 +69,13 @@ def _open(own: DataFrame, groups: DataFrame | None) -> DataFrame:
 def _lightened(own: DataFrame) -> DataFrame:
     """Postings without the longest lists of each id, as many of its ``spare`` ones as make its estimated cost least; ``left_out`` counts them.
 
+    ``longest`` is the token of each id's longest list, whether left out or not.
     With R rows met in the lists that stay and l shared tokens still asked for, at most R / l ids are candidates; each
     costs as much as VERIFY_COST rows.
     """
     heaviest = Window.partitionBy("id").orderBy(F.desc("df"), "token")  # one id's tokens
     ranked = own.withColumn("rank", F.row_number().over(heaviest)).withColumn("met", F.sum(F.col("df") - 1).over(heaviest))
+    ranked = ranked.withColumn("longest", F.first("token").over(heaviest))
     totals = own.groupBy("id").agg(F.sum(F.col("df") - 1).alias("total"))
     cost = (F.col("total") - F.col("met")) * (1 + F.lit(VERIFY_COST) / (F.col("need") - F.col("rank")))
     choices = ranked.where("rank <= spare").join(totals, "id").groupBy("id").agg(
@@ -87,20 +90,23 @@ def _lightened(own: DataFrame) -> DataFrame:
 def met_pairs(light: DataFrame, ratio: tuple[int, int], overlap: tuple[int, int]) -> DataFrame:
     """Pairs (a < b) of different groups that may be linked, from the postings of ``_lightened``; see ``linked_groups``.
 
-    Ids ask for the others in their lists.  Those with one smallest token (by hash) ask together, ASKING at most, so similar
-    ids share the lists they look at, and a list is written once for each such company instead of once a pair.  What a
-    company meets is dealt out by id to parts of about MET_ROWS rows; a task counts the shared tokens of its pairs and
-    gives back only pairs with as many as a link needs.
+    Ids ask for the others in their lists, of two groups only the one with fewer postings (then the smaller root), so a large
+    group is met and does not ask.  Those with one longest list ask together, ASKING at most, so ids of one family share the lists
+    they look at, and a list is written once for each such company instead of once a pair.  What a company meets is dealt out
+    by id to parts of about MET_ROWS rows; a task counts the shared tokens of its pairs and gives back only pairs with as
+    many as a link needs.
     """
-    keys = ["cluster", "piece"]
-    home = light.groupBy("id").agg(F.min(F.xxhash64("token")).alias("cluster"))
+    keys, facts = ["cluster", "piece"], ["token", "id", "root", "bulk", "size", "need", "lists", "left_out"]
+    standing = F.struct("bulk", "root")
+    light = materialize(light.join(light.groupBy("root").agg(F.count(F.lit(1)).alias("bulk")), "root").select(*facts, "longest"), "standing")
+    lists = light.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.max(standing).alias("most"))
+    asking = light.join(lists.where("length > 1"), "token").where(standing < F.col("most")).select(*facts, "longest", "length")
+    home = asking.groupBy("id").agg(F.first("longest").alias("cluster"))
     wide = home.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / ASKING).cast("int").alias("pieces"))
     home = home.join(wide, "cluster").select("id", "cluster", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int").alias("piece"))
-    facts = ["token", "id", "root", "size", "need", "lists", "left_out"]
-    asking = materialize(light.select(*facts).join(home, "id"), "asking")
-    tokens = asking.select(*keys, "token").distinct()
-    lengths = light.groupBy("token").agg(F.count(F.lit(1)).alias("length"))
-    parts = tokens.join(lengths, "token").groupBy(*keys).agg(F.ceil(F.sum("length") / MET_ROWS).cast("int").alias("parts"))
+    asking = materialize(asking.join(home, "id").select(*facts, "length", *keys), "asking")
+    tokens = asking.groupBy(*keys, "token").agg(F.first("length").alias("length"))
+    parts = tokens.groupBy(*keys).agg(F.ceil(F.sum("length") / MET_ROWS).cast("int").alias("parts"))
     parts = materialize(parts, "companies")
     met = tokens.join(light.select(*facts), "token").join(parts, keys).select(
         *keys, F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), *facts, F.lit(False).alias("asks")
@@ -108,9 +114,10 @@ def met_pairs(light: DataFrame, ratio: tuple[int, int], overlap: tuple[int, int]
     asked = asking.join(parts, keys).select(*keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *facts, F.lit(True).alias("asks"))
 
     def counted(table: pa.Table) -> pa.Table:
-        token, name, root, size, need, lists, left, asks = (table.column(c).to_numpy() for c in [*facts, "asks"])
+        token, name, root, bulk, size, need, lists, left, asks = (table.column(c).to_numpy() for c in [*facts, "asks"])
         by_id = np.unique(name, return_index=True)[1]
-        name_of, root_of, size_of, need_of, lists_of, left_of = (x[by_id] for x in (name, root, size, need, lists, left))
+        name_of, size_of, need_of, lists_of, left_of = (x[by_id] for x in (name, size, need, lists, left))
+        standing_of = np.unique(np.column_stack([bulk[by_id], root[by_id]]), axis=0, return_inverse=True)[1].ravel()
         number = np.searchsorted(name_of, name)
         others = np.flatnonzero(~asks)
         others = others[np.argsort(token[others], kind="stable")]
@@ -133,13 +140,13 @@ def met_pairs(light: DataFrame, ratio: tuple[int, int], overlap: tuple[int, int]
             found = np.flatnonzero(counts)
             shared, one, two = counts[found], number[rows[first[at + found // len(name_of)]]], found % len(name_of)
             sizes = size_of[one] + size_of[two]
-            good = (one < two) & (root_of[one] != root_of[two])
+            good = standing_of[one] < standing_of[two]
             good &= np.minimum(size_of[one], size_of[two]) * ratio[1] >= np.maximum(size_of[one], size_of[two]) * ratio[0]
             good &= np.minimum(lists_of[one], lists_of[two]) * overlap[1] >= sizes * overlap[0]
             least = np.maximum(np.maximum(need_of[one], need_of[two]), -(-sizes * overlap[0] // overlap[1]))
             good &= shared >= least - np.maximum(left_of[one], left_of[two])
-            ones.append(name_of[one[good]])
-            twos.append(name_of[two[good]])
+            ones.append(np.minimum(name_of[one[good]], name_of[two[good]]))
+            twos.append(np.maximum(name_of[one[good]], name_of[two[good]]))
             at = to
         return pa.table({"a": np.concatenate(ones or [np.zeros(0, np.int64)]), "b": np.concatenate(twos or [np.zeros(0, np.int64)])})
 
@@ -182,14 +189,15 @@ def first_links(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], r
 
 def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: tuple[int, int], rounds: int = 3,
                   close: Callable[[Column, Column], Column] | None = None, overlap: tuple[int, int] | None = None,
-                  links: DataFrame | None = None) -> DataFrame:
+                  links: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
     """(id, root) of all ids with a link, from ``postings`` (token, id, need, size, and maybe spare and mark: all long).
 
     Ids may be linked only if both share at least their ``need`` of tokens, the smaller size is at least ratio[0] / ratio[1]
     of the larger, their marks are ``close``, and, with ``overlap``, they share that part of the sum of their sizes, which
     neither can if it stands in fewer lists; ``spare`` is less than ``need``.  ``verify`` takes pairs (a < b) and returns
-    those that are linked.  ``links`` (a, b) are links known before; the postings of ids that they settle may be missing.
-    Postings may have their groups by these links, ``root``, and the numbers of ids of their lists, ``df``, already.
+    those that are linked.  ``links`` (a, b) are links known before, ``groups`` what they connect, if that is known too; the
+    postings of ids that they settle may be missing.  Postings may have their groups by these links, ``root``, and the numbers
+    of ids of their lists, ``df``, already.
 
     Rounds: in every token's list the ids meet one id of it, another one each round, and each id tries the one it meets
     most often outside its group; what is verified joins groups.  That takes a pair an id and round and settles groups of copies.  At last
@@ -199,7 +207,7 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     beginnings in one order of lists, so at most the larger number left out.  With ``overlap`` and ``spare`` these pairs are
     counted in companies of ids (``met_pairs``), else by a join of the lists.
     """
-    groups = None if links is None else connected(links)
+    groups = connected(links) if groups is None and links is not None else groups
     own = _open(postings, None if "df" in postings.columns else groups)
     links = own.sparkSession.createDataFrame([], "a long, b long") if links is None else links
 

@@ -124,11 +124,11 @@ def still_open(shared: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def numbered(ids: DataFrame, groups: DataFrame) -> DataFrame:
-    """(id, number, root): short numbers for ``ids``, and the least number of each one's group."""
-    own = ids.join(groups.select("id", "root"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    """(id, top, number, root): the group of each of ``ids``, short numbers, and the least number of each one's group."""
+    own = ids.join(groups.select("id", "root"), "id", "left").select("id", F.coalesce("root", "id").alias("top"))
     own = materialize(own.withColumn("number", F.monotonically_increasing_id()), "numbers")
-    least = own.groupBy("root").agg(F.min("number").alias("least"))
-    return materialize(own.join(least, "root").select("id", "number", F.col("least").alias("root")), "still-open")
+    least = own.groupBy("top").agg(F.min("number").alias("root"))
+    return materialize(own.join(least, "top").select("id", "top", "number", "root"), "still-open")
 
 
 def whole_postings(members: DataFrame) -> DataFrame:
@@ -253,17 +253,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     links = first_links(shared.where(small), lambda pairs: similar_pairs(pairs, members), ratio)
     groups = connected(links)
     left = numbered(still_open(shared, groups), groups)
-    of_left = materialize(members.join(left, "id").select(F.col("number").alias("id"), "value", "root"), "open-members")
+    of_left = materialize(members.join(left.select("id", "number", "root"), "id").select(F.col("number").alias("id"), "value", "root"), "open-members")
     discard(shared, alive, wanted, members)
     postings = materialize(whole_postings(of_left), "whole-sets")
     known = left.where("number <> root").select(F.col("number").alias("a"), F.col("root").alias("b"))
+    stars = known.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    stars = stars.unionByName(stars.select(F.col("root").alias("id"), "root").distinct())
     overlap = (NUMERATOR, NUMERATOR + DENOMINATOR)
-    more = linked_groups(postings, lambda pairs: similar_pairs(pairs, of_left.select("id", "value")), ratio, ROUNDS, overlap=overlap, links=known)
+    more = linked_groups(postings, lambda pairs: similar_pairs(pairs, of_left.select("id", "value")), ratio, ROUNDS, overlap=overlap, links=known, groups=stars)
     discard(postings, of_left)
-    a, b = (left.select(F.col("number").alias(f"n{side}"), F.col("id").alias(side)) for side in "ab")
-    more = more.join(a, F.col("id") == F.col("na")).drop("id").join(b, F.col("root") == F.col("nb")).select("a", "b")
-    groups = connected(links.unionByName(more))
+    # groups that later links join: all take the smallest name of theirs
+    joined = left.select("top", F.col("number").alias("id")).join(more.withColumnRenamed("root", "joint"), "id").select("top", "joint").distinct()
+    moved = joined.join(joined.groupBy("joint").agg(F.min("top").alias("least")), "joint").where("top <> least").select("top", "least")
     rooted = classes.join(groups, F.col("key") == F.col("id"), "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
+    rooted = rooted.join(moved, F.col("root") == F.col("top"), "left").select("key", "doc", F.coalesce("least", "root").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     named = rooted.join(smallest, "root").select("key", "component", "root")
     alone = sets.where("key IS NULL").select("doc", "row", "n", F.col("doc").alias("component"), F.lit(None).cast("long").alias("root"))

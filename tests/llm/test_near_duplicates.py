@@ -65,6 +65,24 @@ def test_met_pairs_count_shared_tokens(spark, monkeypatch, asking, rows, counter
         assert {r["id"]: r["root"] for r in got.collect()} == {i: groups.find(i) for i in sets if i in groups.above}
 
 
+def test_a_family_asks_together(spark, monkeypatch):
+    """Sets that lost a few tokens of a common one, half of them one group: its ids do not ask, the others share their companies."""
+    steps, write = {}, components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, label="step": steps.setdefault(label, []).append(write(df, label)) or steps[label][-1])
+    rng = random.Random(12)
+    sets = {i: set(rng.sample(range(60), rng.randint(46, 52))) for i in range(120)}
+    need = {i: -(-3 * len(own) // 4) for i, own in sets.items()}
+    postings = frame(spark, [(t, i, need[i], need[i] - 1, len(own)) for i, own in sets.items() for t in own], "token long, id long, need long, spare long, size long")
+    groups = frame(spark, [(i, 0) for i in range(60)], "id long, root long")
+    light = components._lightened(components._open(postings, groups))
+    found = {(r["a"], r["b"]) for r in components.met_pairs(light, (3, 4), (3, 7)).collect()}
+    assert found >= {(a, b) for a in sets for b in sets if a < b and b >= 60 and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])}
+    assert not any(b < 60 for _, b in found)
+    asking = {r["id"] for r in steps["asking"][-1].select("id").collect()}
+    assert asking and min(asking) >= 60
+    assert steps["companies"][-1].count() * 10 <= len(asking)
+
+
 def test_hot_tokens_take_many_buckets():
     """A token that a third of 9,000 ids have: no bucket holds most of its rows, and all shared tokens come back."""
     rng, buckets, chunks = random.Random(3), 4, []
