@@ -220,6 +220,39 @@ def test_line_dedup_finds_changed_words(spark):
     assert gone == {d for i, (a, b) in enumerate(pairs) for d in (2 * i, 2 * i + 1) if d % 2 or i % 3}
 
 
+def syllables(rng, size):
+    """A line of so many characters, in a language of thirty syllables: runs of a word or two are common."""
+    out = ""
+    while len(out) < size:
+        out += "".join(rng.choice("th er on ti in an re ed at en st or es he nd ou ea ha is it ar te se hi al ne le ma ri co".split()) for _ in range(rng.randint(1, 3))) + " "
+    return out[:size].strip()
+
+
+def test_line_dedup_finds_edits_all_over_long_lines(spark):
+    """A tenth of the characters replaced, evenly spread: no run of ten bytes stays whole."""
+    rng = random.Random(31)
+    rows = []
+    for i in range(60):
+        line = list(syllables(rng, 900))
+        rows.append((2 * i, "".join(line)))
+        for place in range(5, len(line) - 10, 10):
+            line[place] = "q"
+        rows.append((2 * i + 1, "".join(line)))
+    assert all(line_dedup.edits_within(a, b, len(a) // 10) for (_, a), (_, b) in zip(rows[::2], rows[1::2]))
+    plain, _, n_gone = line_dedup.without_repeated_lines(frame(spark, rows))
+    got = {r["d"]: r["n"] for r in plain.select(F.col("__0").alias("d"), n_gone.alias("n")).collect()}
+    assert sum(got[2 * i + 1] for i in range(60)) >= 57 and not any(got[2 * i] for i in range(60))
+
+
+def test_unlike_lines_of_one_language_are_no_candidates(spark, monkeypatch):
+    steps, write = {}, line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, label="step": steps.setdefault(label, write(df, label)))
+    rng = random.Random(32)
+    rows = [(i, syllables(rng, rng.choice([350, 700, 1400]))) for i in range(1500)]
+    assert line_dedup.repeated_lines(frame(spark, rows)).count() == 0
+    assert steps["wanted"].count() < 150
+
+
 def test_line_dedup_of_odd_tables(spark):
     docs = frame(spark, [(1, "one two\nx"), (1, "one two\nx"), (None, "x"), (2, "one two")])
     got = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.deduplicated(docs).collect())
