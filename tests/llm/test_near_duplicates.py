@@ -244,6 +244,25 @@ def test_line_dedup_finds_edits_all_over_long_lines(spark):
     assert sum(got[2 * i + 1] for i in range(60)) >= 57 and not any(got[2 * i] for i in range(60))
 
 
+def test_beginnings_tell_no_linked_lines_apart(spark):
+    rng, told = random.Random(33), 0
+    for size in [200, 201, 255, 400, 900] * 12:
+        line = syllables(rng, size)
+        other = list(line)
+        for place in sorted(rng.sample(range(len(line) if rng.random() < 0.5 else len(line) // 3), len(line) // 10 - 1), reverse=True):
+            other[place : place + 1] = rng.choice(["", "q", "qq"])
+        pairs = [(line, "".join(other)), (line, syllables(rng, size))]
+        values = frame(spark, [(i, v) for i, v in enumerate(v for p in pairs for v in p)], "id long, value string") if size == 255 and not told else None
+        if values is not None:
+            assert {r["id"]: r["value"] for r in line_dedup.heads(values).collect()} == {i: v[: len(v) * 4 // 10] if len(v) >= 200 else v for i, v in enumerate(v for p in pairs for v in p)}
+        for x, y in pairs:
+            one, other = (v[: len(v) * 4 // 10] if len(v) >= 200 else v for v in (x, y))
+            may = line_dedup.may_begin_alike(one, other)
+            assert may or not line_dedup.edits_within(x, y, max(len(x), len(y)) // 10)
+            told += not may
+    assert told > 50
+
+
 def test_unlike_lines_of_one_language_are_no_candidates(spark, monkeypatch):
     steps, write = {}, line_dedup.materialize
     monkeypatch.setattr(line_dedup, "materialize", lambda df, label="step": steps.setdefault(label, write(df, label)))
