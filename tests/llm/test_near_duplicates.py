@@ -272,6 +272,38 @@ def test_unlike_lines_of_one_language_are_no_candidates(spark, monkeypatch):
     assert steps["wanted"].count() < 150
 
 
+def test_sketch_tokens_are_even_in_all_buckets():
+    """The smallest hashes of long lines gathered in the first bucket of their class, which one task then held whole."""
+    rng = random.Random(34)
+    _, _, _, sizes, forms, begins = line_dedup._measured(["\n".join(syllables(rng, 700) for _ in range(300)).encode()])
+    tokens = next(entry[1] for entry in line_dedup.line_tokens(forms, begins, sizes) if line_dedup.CLASSES[entry[0]][0] == 500)
+    shares = np.bincount((tokens >> np.uint64(token_lists.TOKEN_BITS - 2)).astype(np.int64), minlength=4) / len(tokens)
+    assert len(shares) == 4 and shares.min() > 0.2
+
+
+def test_many_forms_are_compared_as_one_by_one():
+    rng = random.Random(35)
+    ones, others = [], []
+    for size in [1, 5, 63, 64, 65, 130, 300] * 12:
+        one = "".join(rng.choice("abcdeé ") for _ in range(size))
+        ones.append(one)
+        others.append("".join(rng.choice(["", "x", "yz"]) if rng.random() < 0.1 else c for c in one) or "x")
+    for k in (0, 3, 20, 60):
+        want = [line_dedup.edits_within(x, y, k) for x, y in zip(ones, others)]
+        assert line_dedup.forms_within(ones, others, np.full(len(ones), k)).tolist() == want
+
+
+def test_families_of_lines_meet_as_postings(spark, monkeypatch):
+    """Where all lists are crowded the lists go on instead of pairs, with the same result."""
+    rng = random.Random(36)
+    bases, rows = [syllables(rng, size) for size in (50, 90, 180, 700)], []
+    for i in range(80):
+        rows.append((i, "\n".join(b[:at] + "#" + b[at + 1 :] for b in bases for at in [rng.randrange(len(b))])))
+    for dense in (line_dedup.DENSE, 0):
+        monkeypatch.setattr(line_dedup, "DENSE", dense)
+        assert line_dedup.repeated_lines(frame(spark, rows)).count() == 4 * 79
+
+
 def test_line_dedup_of_odd_tables(spark):
     docs = frame(spark, [(1, "one two\nx"), (1, "one two\nx"), (None, "x"), (2, "one two")])
     got = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.deduplicated(docs).collect())
