@@ -12,6 +12,7 @@ from gristmill.llm import components, decontaminate, line_dedup, ngram_join, suf
 from gristmill.llm.components import connected, linked_groups, with_payload
 from gristmill.llm.suffix_order import blind_trie, deep_shallow
 from gristmill.llm.words import shingle_sets
+from gristmill.scratch import materialize
 from tests.llm.helpers import DOCUMENTS, Groups, contaminated, edit_distance, frame, jaccard_components, lines_kept, near_copies, removed_bytes, shingles, within
 
 
@@ -301,6 +302,28 @@ def test_families_of_lines_meet_as_postings(spark):
     assert line_dedup.repeated_lines(frame(spark, rows)).count() == 79
 
 
+def test_families_are_connected_by_few_verified_pairs(spark, monkeypatch):
+    rng = random.Random(31)
+    first = " ".join(rng.choice(["harbour", "violin", "lantern", "orchard", "thunder", "compass"]) + str(rng.randrange(90)) for _ in range(20))
+    # of a chain each line is linked to its neighbours alone; of a family all are linked
+    step = len(first) // 14
+    chain = [first[:20] + "#" * (step * k) + first[20 + step * k :] for k in range(8)]
+    family = [first[::-1] + f" {k % 10}{k // 10}" for k in range(40)]
+    forms = frame(spark, list(enumerate(chain + family)), "id long, value string")
+    printed = materialize(line_dedup.printed(forms), "printed")
+    lines = chain + family
+    close = [(a, b, max(len(lines[a]), len(lines[b]))) for a in range(48) for b in range(a + 1, 48) if (a < 8) == (b < 8)]
+    wanted = [(a, b) for a, b, size in close if line_dedup.edits_within(lines[a], lines[b], size // 10)]
+    alike = materialize(line_dedup.printed_alike(frame(spark, close, "a long, b long, size long"), printed), "alike")
+    tried, verify = [], line_dedup.similar_lines
+    monkeypatch.setattr(line_dedup, "similar_lines", lambda pairs, own: tried.append(pairs.count()) or verify(pairs, own))
+    links, groups = line_dedup.connecting_links(alike, printed)
+    assert {(r["a"], r["b"]) for r in links.collect()} <= set(wanted) and len(wanted) > 780
+    want = connected(frame(spark, wanted, "a long, b long"))
+    assert sorted(groups.collect()) == sorted(want.collect()) and len({r["root"] for r in groups.collect()}) == 2
+    assert sum(tried) < 150 and alike.count() > 800
+
+
 def test_line_dedup_of_odd_tables(spark):
     docs = frame(spark, [(1, "one two\nx"), (1, "one two\nx"), (None, "x"), (2, "one two")])
     got = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.deduplicated(docs).collect())
